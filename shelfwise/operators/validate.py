@@ -166,5 +166,5 @@ def excluded_report(df: DataFrame, dataset: Dataset, profile: Profile, columns:
 
 
 def without_excluded(clean: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Distinct clean rows that do not occur in the excluded rows."""
-    return clean.subtract(excluded.select(*[f"`{c}`" for c in clean.columns]))
+    """Distinct clean rows that do not occur in the excluded rows. Copies are folded before the rows are joined."""
+    return clean.distinct().subtract(excluded.select(*[f"`{c}`" for c in clean.columns]))
