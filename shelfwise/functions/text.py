@@ -38,41 +38,50 @@ def _base_letters() -> tuple[str, str]:
     return "".join(composed), "".join(base)
 
 
-def _split_hangul(text: Column) -> Column:
-    def letters(ch: Column) -> Column:
-        at = F.ascii(ch) - HANGUL_FIRST
-        lead = F.substring(F.lit(JAMO_LEAD), F.floor(at / 588) + 1, F.lit(1))
-        vowel = F.substring(F.lit(JAMO_VOWEL), F.floor((at % 588) / 28) + 1, F.lit(1))
-        tail = F.when(at % 28 == 0, "").otherwise(F.substring(F.lit(JAMO_TAIL), at % 28, F.lit(1)))
-        return F.when(ch.rlike(HANGUL_BLOCK), F.concat(lead, vowel, tail)).otherwise(ch)
+def _literal(text: str) -> str:
+    """A SQL string literal whose backslashes stay as they are."""
+    return "r'" + text + "'" if "\\" in text else "'" + text.replace("'", "''") + "'"
 
-    return F.when(text.rlike(HANGUL_BLOCK), F.array_join(F.transform(F.split(text, ""), letters), "")).otherwise(text)
 
+def _name(column: str) -> str:
+    return f"`{column}`"
 
-def strip_accents(text: Column) -> Column:
-    """Canonical decomposition with all combining marks removed. Plain ASCII cells skip the work."""
+
+def _split_hangul(c: str) -> str:
+    """SQL: composed Hangul syllables of ``c`` taken apart into their letters."""
+    at = f"(ascii(ch) - {HANGUL_FIRST})"
+    lead = f"substring('{JAMO_LEAD}', {at} div 588 + 1, 1)"
+    vowel = f"substring('{JAMO_VOWEL}', {at} % 588 div 28 + 1, 1)"
+    tail = f"if({at} % 28 = 0, '', substring('{JAMO_TAIL}', {at} % 28, 1))"
+    letters = f"ch -> if(ch rlike '{HANGUL_BLOCK}', concat({lead}, {vowel}, {tail}), ch)"
+    return f"if({c} rlike '{HANGUL_BLOCK}', array_join(transform(split({c}, ''), {letters}), ''), {c})"
+
+
+def _strip_accents(c: str) -> str:
     composed, base = _base_letters()
-    folded = F.regexp_replace(F.translate(_split_hangul(text), composed, base), r"\p{M}", "")
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
+    folded = f"translate({_split_hangul(c)}, {_literal(composed)}, {_literal(base)})"
+    return f"if(octet_length({c}) = char_length({c}), {c}, regexp_replace({folded}, r'\\p{{M}}', ''))"
 
 
-def squeeze_spaces(text: Column) -> Column:
-    """Every run of blank, tab and line-end characters becomes one blank."""
-    return F.regexp_replace(text, r"[ \t\n\f\r]+", " ")
+def strip_accents(column: str) -> Column:
+    """Canonical decomposition with all combining marks removed. Plain ASCII cells skip the work."""
+    return F.expr(_strip_accents(_name(column)))
 
 
 def trim_edges(text: Column) -> Column:
     return F.btrim(text, F.lit(C.EDGE_SPACES))
 
 
-def null_if_sentinel(text: Column, result: Column | None = None) -> Column:
-    """Null where the raw cell says "no value", else ``result`` (default: the cell itself)."""
-    return F.when(~F.upper(trim_edges(text)).isin(*C.NULL_WORDS), text if result is None else result)
-
+def clean_text(column: str) -> Column:
+    """Accents off, white space squeezed to single blanks, upper case, trimmed.
 
-def clean_text(text: Column) -> Column:
-    """Accents off, spaces squeezed, upper case, trimmed; sentinels of the raw cell become null."""
-    return null_if_sentinel(text, trim_edges(F.upper(squeeze_spaces(strip_accents(text)))))
+    Null where the raw cell is one of the words for "no value". Written as one SQL text: wide tables have many
+    text columns, and building this call by call would take longer than a small job.
+    """
+    c, edges = _name(column), _literal(C.EDGE_SPACES)
+    squeezed = f"regexp_replace({_strip_accents(c)}, r'[ \\t\\n\\f\\r]+', ' ')"
+    words = ", ".join(map(_literal, C.NULL_WORDS))
+    return F.expr(f"case when upper(btrim({c}, {edges})) not in ({words}) then btrim(upper({squeezed}), {edges}) end")
 
 
 def null_if_missing_brand(brand: Column) -> Column:

@@ -19,7 +19,7 @@ def string_columns(df: DataFrame) -> list[str]:
 def clean_frame(df: DataFrame) -> DataFrame:
     """Clean every string column, pass the others through; names and order stay."""
     strings = set(string_columns(df))
-    return df.select(*[(text.clean_text(F.col(f"`{c}`")).alias(c) if c in strings else F.col(f"`{c}`"))
+    return df.select(*[(text.clean_text(c).alias(c) if c in strings else F.col(f"`{c}`"))
                        for c in df.columns])
 
 
