@@ -57,15 +57,23 @@ def _split_hangul(c: str) -> str:
     return f"if({c} rlike '{HANGUL_BLOCK}', array_join(transform(split({c}, ''), {letters}), ''), {c})"
 
 
-def _strip_accents(c: str) -> str:
+def _is_ascii(c: str) -> str:
+    return f"octet_length({c}) = char_length({c})"
+
+
+def _fold(c: str) -> str:
     composed, base = _base_letters()
-    folded = f"translate({_split_hangul(c)}, {_literal(composed)}, {_literal(base)})"
-    return f"if(octet_length({c}) = char_length({c}), {c}, regexp_replace({folded}, r'\\p{{M}}', ''))"
+    return rf"regexp_replace(translate({_split_hangul(c)}, {_literal(composed)}, {_literal(base)}), r'\p{{M}}', '')"
 
 
 def strip_accents(column: str) -> Column:
     """Canonical decomposition with all combining marks removed. Plain ASCII cells skip the work."""
-    return F.expr(_strip_accents(_name(column)))
+    c = _name(column)
+    return F.expr(f"if({_is_ascii(c)}, {c}, {_fold(c)})")
+
+
+def _squeeze(text: str) -> str:
+    return rf"regexp_replace({text}, r'[ \t\n\f\r]+', ' ')"
 
 
 def trim_edges(text: Column) -> Column:
@@ -79,7 +87,9 @@ def clean_text(column: str) -> Column:
     text columns, and building this call by call would take longer than a small job.
     """
     c, edges = _name(column), _literal(C.EDGE_SPACES)
-    squeezed = f"regexp_replace({_strip_accents(c)}, r'[ \\t\\n\\f\\r]+', ' ')"
+    # In plain cells, looking for something to squeeze is several times cheaper than replacing where nothing is.
+    plain = rf"if({c} rlike r'  |[\t\n\f\r]', {_squeeze(c)}, {c})"
+    squeezed = f"if({_is_ascii(c)}, {plain}, {_squeeze(_fold(c))})"
     words = ", ".join(map(_literal, C.NULL_WORDS))
     return F.expr(f"case when upper(btrim({c}, {edges})) not in ({words}) then btrim(upper({squeezed}), {edges}) end")
 

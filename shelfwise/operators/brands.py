@@ -11,7 +11,7 @@ from shelfwise.constants import BRAND_COLUMNS
 from shelfwise.functions.text import alphanumeric_form, brand_root
 from shelfwise.operators.clean import keep_columns
 from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning, attach
-from shelfwise.operators.materialise import Settled, settle
+from shelfwise.operators.materialise import settle
 from shelfwise.operators.similar import similar_brand_mapping
 
 
@@ -57,7 +57,7 @@ def standardise_by_frequency(df: DataFrame, columns: Sequence[str], output_colum
             part = mapping.frame.filter(F.col("column_name") == c).select("normal_form", "standard")
             keyed = df.withColumn("__form", alphanumeric_form(F.col(c)))
             df = (
-                attach(keyed, Settled(part, mapping.rows, mapping.size), {"__form": "normal_form"}, tuning=tuning)
+                attach(keyed, mapping.narrowed(part), {"__form": "normal_form"}, tuning=tuning)
                 .withColumn(c, F.coalesce("standard", c)).drop("__form", "standard")
             )
     return keep_columns(df, output_columns or df.columns)

@@ -77,16 +77,12 @@ def attach(rows: DataFrame, lookup: DataFrame | Settled, on: Mapping[str, str],
     left_semi or left_anti. Columns added by the lookup must be new names.
     """
     keys = list(on)
-    if isinstance(lookup, Settled):
-        frame, known = lookup.frame, lookup
-    else:
-        frame, known = lookup, None
+    frame = lookup.frame if isinstance(lookup, Settled) else lookup
     marks = [f"__k{i}" for i in range(len(keys))]
     extra = [c for c in frame.columns if c not in on.values()]
     right = frame.select(*[F.col(f"`{o}`").alias(m) for o, m in zip(on.values(), marks)], *[f"`{c}`" for c in extra])
-    if known is None:
-        known = settle(right, "lookup")
-        right = known.frame
+    known = lookup.narrowed(right) if isinstance(lookup, Settled) else settle(right, "lookup")
+    right = known.frame
     if known.fits(tuning.max_rows, tuning.max_bytes):
         match = null_safe([(F.col(f"`{k}`"), F.col(m)) for k, m in zip(keys, marks)])
         joined = rows.join(F.broadcast(right), match, how)

@@ -44,7 +44,7 @@ def category_index(df: DataFrame, columns: Sequence[str], missing: str = "nan")
 def _one_column(label_map: Settled, column: str, key: str, value: str) -> Settled:
     part = label_map.frame.filter(F.col("column_name") == column).select(
         F.col(key).alias("__key"), F.col(value).alias("__found"))
-    return Settled(part, label_map.rows, label_map.size)
+    return label_map.narrowed(part)
 
 
 def encode_labels(df: DataFrame, label_map: DataFrame, columns: Sequence[str] = GLOBAL_LEVELS, prefix: str = "",

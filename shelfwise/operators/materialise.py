@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # A table is broadcast only when both bounds hold; the bytes are those of the decoded rows.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
+# Files up to this size are always cheap enough to measure.
+SMALL_FILE = 1024 * 1024
 
 DIR_SETTING = "spark.checkpoint.dir"
 
@@ -32,34 +32,63 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-@dataclass(frozen=True)
-class Settled:
-    """A written table with its measured size."""
+def _row_bytes(schema: T.StructType) -> str:
+    """SQL for the decoded size of a row: text by its bytes, nested values by their JSON, others 16 bytes."""
+    parts = ["0"]
+    for field in schema.fields:
+        c = f"`{field.name}`"
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(f"coalesce(octet_length({c}), 0) + 16")
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(f"octet_length(to_json(struct({c}))) + 32")
+        else:
+            parts.append("16")
+    return " + ".join(parts)
+
 
-    frame: DataFrame
-    rows: int
-    size: int
+class Settled:
+    """A written table. Its size is measured when first asked for."""
+
+    def __init__(self, frame: DataFrame, path: str):
+        self.frame = frame
+        self.path = path
+        self._parent: Settled | None = None
+        self._measured: tuple[int, int] | None = None
+
+    def narrowed(self, frame: DataFrame) -> Settled:
+        """A part of this table (fewer rows or columns), bounded by the size of the whole."""
+        part = Settled(frame, self.path)
+        part._parent = self
+        return part
+
+    def bytes_on_disk(self) -> int:
+        spark = self.frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def measure(self) -> tuple[int, int]:
+        """(rows, decoded bytes)."""
+        if self._parent is not None:
+            return self._parent.measure()
+        if self._measured is None:
+            line = self.frame.selectExpr("count(1) as n", f"sum(cast({_row_bytes(self.frame.schema)} as long)) as size")
+            found = line.first()
+            self._measured = (found["n"], found["size"] or 0)
+        return self._measured
 
     def fits(self, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+        """Whether the table may be broadcast. Large files are refused unread."""
         max_rows = BROADCAST_ROWS if max_rows is None else max_rows
         max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
-        return self.rows <= max_rows and self.size <= max_bytes
-
-
-def _width(field: T.StructField) -> Column:
-    value = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.octet_length(F.to_json(F.struct(value))) + 32
-    return F.lit(16)
+        if self.bytes_on_disk() > max(max_bytes, SMALL_FILE):
+            return False
+        rows, size = self.measure()
+        return rows <= max_rows and size <= max_bytes
 
 
 def settle(df: DataFrame, label: str = "step") -> Settled:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, the size is measured on the way."""
+    """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    seen = Observation()
-    width = sum((_width(field) for field in df.schema.fields), F.lit(0))
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("size")).write.parquet(path)
-    return Settled(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["size"] or 0)
+    df.write.parquet(path)
+    return Settled(spark.read.schema(df.schema).parquet(path), path)

@@ -135,10 +135,9 @@ def date_year_rows(df: DataFrame) -> DataFrame:
     return df.filter(year_out_of_range(F.col(first_date_column(df.schema))))
 
 
-def rule_hits(df: DataFrame, dataset: Dataset, rules: Sequence[str], columns: Sequence[str] | None = None,
-              tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """(reason, columns..): one line per distinct offending row and rule, duplicates in the surplus flavour."""
-    columns = list(columns or df.columns)
+def _hit_lines(df: DataFrame, dataset: Dataset, rules: Sequence[str], columns: Sequence[str],
+               tuning: JoinTuning) -> DataFrame:
+    """(reason, columns..) of every offending row, at least one line per distinct row and rule."""
     checks: dict[str, Callable[[], tuple[str, DataFrame]]] = {
         "duplicate_row": lambda: (C.ROW_REASON, repeated_rows(df, columns, tuning=tuning).frame),
         "duplicate_key": lambda: (C.KEY_REASON, _key_groups(df, dataset.primary_keys, columns, tuning)
@@ -156,11 +155,17 @@ def rule_hits(df: DataFrame, dataset: Dataset, rules: Sequence[str], columns: Se
     return union
 
 
+def rule_hits(df: DataFrame, dataset: Dataset, rules: Sequence[str], columns: Sequence[str] | None = None,
+              tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
+    """(reason, columns..): one line per distinct offending row and rule, duplicates in the surplus flavour."""
+    return _hit_lines(df, dataset, rules, list(columns or df.columns), tuning).distinct()
+
+
 def excluded_report(df: DataFrame, dataset: Dataset, profile: Profile, columns: Sequence[str] | None = None,
                     tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
     """(reasons array, columns..): each distinct offending row with its distinct reasons, sorted."""
     columns = list(columns or df.columns)
-    hits = rule_hits(df, dataset, profile.rules, columns, tuning)
+    hits = _hit_lines(df, dataset, profile.rules, columns, tuning)
     grouped = hits.groupBy(*[f"`{c}`" for c in columns]).agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
     return grouped.select("reasons", *[f"`{c}`" for c in columns])
 

@@ -23,8 +23,11 @@ def present(columns: Sequence[str], df: DataFrame) -> list[str]:
 
 
 def standardised(raw: DataFrame, dataset: Dataset, rules: Profile, tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """Clean text, null the "no brand" words, give each listed column its most frequent spelling."""
-    cleaned = null_brands(clean_frame(raw), present(dataset.brand_columns, raw))
+    """Clean text, null the "no brand" words, give each listed column its most frequent spelling.
+
+    The cleaned rows are written once: the steps after it read them several times, mostly a few columns each.
+    """
+    cleaned = settle(null_brands(clean_frame(raw), present(dataset.brand_columns, raw)), "cleaned").frame
     return standardise_by_frequency(cleaned, present(rules.standard_columns, raw), raw.columns, tuning)
 
 

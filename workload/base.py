@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise import constants as C
 from shelfwise.config import Dataset
 from shelfwise.operators.clean import clean_frame, null_brands
+from shelfwise.operators.materialise import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,11 @@ def cleaned(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFram
     return clean_frame(products(spark, sf_dir, with_id))
 
 
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned products as a written table, as the validation step finds them."""
+    return settle(cleaned(spark, sf_dir), "clean-products").frame
+
+
 def branded(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
     return null_brands(cleaned(spark, sf_dir, with_id))
 

@@ -10,7 +10,7 @@ from shelfwise.operators import hierarchy as H
 from shelfwise.operators import validate as V
 from shelfwise.plans.cleaning import clean_and_validate
 from workload.base import (
-    DATASET, PRODUCT_COLUMNS, branded, branded_sql, cleaned, cleaned_sql, columns_sql, products, table,
+    DATASET, PRODUCT_COLUMNS, clean_table, cleaned, cleaned_sql, columns_sql, products, table,
 )
 from workload.brands import STANDARDISED_SQL
 
@@ -30,11 +30,11 @@ def _joined(flagged):
 
 
 def _dup_rows(spark, sf):
-    return _joined(V.flag_duplicate_rows(V.with_empty_reasons(cleaned(spark, sf)), PRODUCT_COLUMNS))
+    return _joined(V.flag_duplicate_rows(V.with_empty_reasons(clean_table(spark, sf)), PRODUCT_COLUMNS))
 
 
 def _dup_keys(spark, sf):
-    return _joined(V.flag_duplicate_keys(V.with_empty_reasons(cleaned(spark, sf)), KEYS))
+    return _joined(V.flag_duplicate_keys(V.with_empty_reasons(clean_table(spark, sf)), KEYS))
 
 
 def _dup_keys_lines(spark, sf):
@@ -45,8 +45,13 @@ def _flagged(spark, sf):
     return clean_and_validate(products(spark, sf), DATASET, ALL_PROFILE)
 
 
-def _report(spark, sf):
-    return V.excluded_report(cleaned(spark, sf), DATASET, SURPLUS_PROFILE)
+def _report(rows):
+    return V.excluded_report(rows, DATASET, SURPLUS_PROFILE)
+
+
+def _not_excluded(spark, sf):
+    rows = clean_table(spark, sf)
+    return V.without_excluded(rows, _report(rows))
 
 
 def _texts(report, column):
@@ -54,7 +59,7 @@ def _texts(report, column):
 
 
 def _hits(spark, sf):
-    hits = V.rule_hits(cleaned(spark, sf), DATASET, SURPLUS_PROFILE.rules)
+    hits = V.rule_hits(clean_table(spark, sf), DATASET, SURPLUS_PROFILE.rules)
     return hits.groupBy("reason").agg(F.count(F.lit(1)).alias("distinct_rows"))
 
 
@@ -68,9 +73,9 @@ def _geography(spark, sf):
 
 QUERIES = {
     "dup_rows_all": _dup_rows,
-    "dup_rows_surplus": lambda s, d: V.surplus_duplicate_rows(cleaned(s, d), PRODUCT_COLUMNS),
+    "dup_rows_surplus": lambda s, d: V.surplus_duplicate_rows(clean_table(s, d), PRODUCT_COLUMNS),
     "dup_keys_all": _dup_keys,
-    "dup_keys_surplus": lambda s, d: V.surplus_duplicate_keys(cleaned(s, d), KEYS),
+    "dup_keys_surplus": lambda s, d: V.surplus_duplicate_keys(clean_table(s, d), KEYS),
     "dup_keys_lineitem": _dup_keys_lines,
     "dup_keys_surplus_lineitem": lambda s, d: V.surplus_duplicate_keys(table(s, d, "lineitem"), LINE_KEYS),
     "barcode_length": lambda s, d: _joined(V.flag_barcode_length(
@@ -81,8 +86,8 @@ QUERIES = {
     "validate_joined": lambda s, d: V.excluded_rows(_flagged(s, d)),
     "clean_split": lambda s, d: V.clean_rows(_flagged(s, d)),
     "rule_hits": _hits,
-    "excluded_array": lambda s, d: _texts(_report(s, d), "reasons"),
-    "clean_subtract": lambda s, d: V.without_excluded(cleaned(s, d), _report(s, d)),
+    "excluded_array": lambda s, d: _texts(_report(clean_table(s, d)), "reasons"),
+    "clean_subtract": _not_excluded,
     "hierarchy_warnings": lambda s, d: _texts(H.hierarchy_warnings(cleaned(s, d)), "parents"),
     "inconsistent_children": lambda s, d: _texts(H.inconsistent_children(
         cleaned(s, d), "local_hierarchy_level2_desc", "local_hierarchy_level3_desc"),
