@@ -14,6 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from shelfwise.operators.materialise import Settled, settle
 
@@ -58,7 +59,8 @@ def salted_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], on: Seq
     hot = settle(hot_keys(rows, keys, tuning), "hot").frame
     # The salt depends only on the row and the input partition, so a retried task gives the same one; equal copies
     # of a row still spread, because they come from many partitions.
-    spread = F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns], F.spark_partition_id()), F.col("__salts"))
+    plain = [f"`{f.name}`" for f in rows.schema.fields if isinstance(f.dataType, AtomicType)]
+    spread = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.col("__salts"))
     left = _with_salts(rows, keys, hot).withColumn("__salt", spread).drop("__salts")
     right = (
         _with_salts(lookup, on, hot)
