@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import check_declared_parameters
 from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning, attach
+from shelfwise.operators.numbering import number_in_order
 
 # Fields of a run that the notification report leaves out.
 RUN_METADATA = ("status", "completedAt", "partitionParameters", "runMetadata", "failureReason", "isRetryable",
@@ -24,15 +25,22 @@ TRIGGER_LOG = ("id string not null, trigger_time timestamp not null, trigger_job
 
 def page(runs: DataFrame, order: Sequence[str], limit: int | None = None, offset: int = 0) -> DataFrame:
     """One page of a run listing; without a limit everything from the offset on."""
-    if limit is None and offset == 0:
+    if limit is not None:
+        return runs.orderBy(*order).offset(offset).limit(limit)
+    if offset == 0:
         return runs
-    ordered = runs.orderBy(*order).offset(offset)
-    return ordered if limit is None else ordered.limit(limit)
+    numbered = number_in_order(runs.withColumn("__all", F.lit(0)), "__all", order, "__at")
+    return numbered.filter(F.col("__at") > offset).drop("__all", "__at")
 
 
 def new_runs(runs: DataFrame, log: DataFrame, run_id: str = "id", tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """Runs whose id the log does not hold."""
-    return attach(runs, log.select(F.col(run_id).alias("seen")).distinct(), {run_id: "seen"}, "left_anti", tuning)
+    """Runs whose id the log does not hold.
+
+    The log grows for ever and a round of runs is small, so the log is first reduced to the ids of this round.
+    """
+    asked = runs.select(F.col(run_id).alias("asked")).distinct()
+    known = attach(log.select(F.col(run_id).alias("seen")), asked, {"seen": "asked"}, "left_semi", tuning).distinct()
+    return attach(runs, known, {run_id: "seen"}, "left_anti", tuning)
 
 
 def notification_report(runs: DataFrame) -> DataFrame:

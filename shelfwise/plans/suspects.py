@@ -45,7 +45,7 @@ def train(train_rows: DataFrame, model_dir: str, settings: SuspectSettings = Sus
         rows = encode_labels(rows, label_map, settings.levels, prefix="correct_")
     rows = settle(rows, "training").frame
     fitted = fit_features(rows, _spec(settings))
-    ready = add_features(rows, fitted)
+    ready = settle(add_features(rows, fitted), "vectors").frame  # read by every fit
     before = PipelineModel.load(f"{model_dir}/errors") if resume else None
     errors = train_error_model(ready, settings.label, kind=settings.kind, epochs=settings.epochs, start_from=before)
     fitted.write().overwrite().save(f"{model_dir}/features")

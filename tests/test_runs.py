@@ -45,6 +45,7 @@ def test_report_and_page(runs):
     assert T.notification_report(runs).columns == ["id", "name", "parameters"]
     assert [r.id for r in T.page(runs, ["id"], 2, 1).collect()] == ["r2", "r3"]
     assert T.page(runs, ["id"]).count() == 4
+    assert sorted(r.id for r in T.page(runs, ["id"], offset=3).collect()) == ["r4"]
 
 
 def test_fan_out(runs):
