@@ -73,7 +73,8 @@ def strip_accents(column: str) -> Column:
 
 
 def _squeeze(text: str) -> str:
-    return rf"regexp_replace({text}, r'[ \t\n\f\r]+', ' ')"
+    """SQL: every run of blank, tab and line-end characters becomes one blank; a single blank is not touched."""
+    return rf"regexp_replace({text}, r' [ \t\n\f\r]+|[\t\n\f\r][ \t\n\f\r]*', ' ')"
 
 
 def trim_edges(text: Column) -> Column:
@@ -87,9 +88,7 @@ def clean_text(column: str) -> Column:
     text columns, and building this call by call would take longer than a small job.
     """
     c, edges = _name(column), _literal(C.EDGE_SPACES)
-    # In plain cells, looking for something to squeeze is several times cheaper than replacing where nothing is.
-    plain = rf"if({c} rlike r'  |[\t\n\f\r]', {_squeeze(c)}, {c})"
-    squeezed = f"if({_is_ascii(c)}, {plain}, {_squeeze(_fold(c))})"
+    squeezed = f"if({_is_ascii(c)}, {_squeeze(c)}, {_squeeze(_fold(c))})"
     words = ", ".join(map(_literal, C.NULL_WORDS))
     return F.expr(f"case when upper(btrim({c}, {edges})) not in ({words}) then btrim(upper({squeezed}), {edges}) end")
 
