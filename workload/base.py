@@ -132,7 +132,3 @@ def branded_sql(with_id: bool = False) -> str:
 
 def columns_sql(columns: Sequence[str] = PRODUCT_COLUMNS, prefix: str = "") -> str:
     return ", ".join(prefix + c for c in columns)
-
-
-def same(left: str, right: str, columns: Sequence[str]) -> str:
-    return " and ".join(f"{left}.{c} is not distinct from {right}.{c}" for c in columns)

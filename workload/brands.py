@@ -11,8 +11,7 @@ from shelfwise.operators.similar import similar_brand_mapping
 from shelfwise.plans.cleaning import clean_and_unify
 from shelfwise.sources.tables import concat_sources
 from workload.base import (
-    DATASET, PRODUCT_COLUMNS, STANDARD_COLUMNS, branded, branded_sql, cleaned, columns_sql, products, products_sql,
-    root_sql, table,
+    DATASET, PRODUCT_COLUMNS, STANDARD_COLUMNS, branded, branded_sql, cleaned, products, products_sql, root_sql, table,
 )
 
 THRESHOLD = 0.85

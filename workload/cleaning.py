@@ -14,8 +14,7 @@ from shelfwise.sources.tables import (
     write_word_list,
 )
 from workload.base import (
-    PRODUCT_COLUMNS, branded, branded_sql, clean_sql, cleaned, cleaned_sql, columns_sql, products, products_sql,
-    quoted, table,
+    branded, branded_sql, clean_sql, cleaned, cleaned_sql, products, quoted, table,
 )
 
 WORDS = r"[ \t\n\f\r]+"
