@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, quality, secrets, shards, urls
+from shelfwise.llm import html_text, mixing, nearest, packing, quality, secret_scan, shards, urls
 from shelfwise.llm.common import table
 
 # The url rules and hosts in use.
@@ -28,6 +28,15 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, BLOCKED_HOSTS).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = nearest.Index(table(spark, sf_dir, "embeddings"))
+    return index.search(F.col("id") % 100 == 0, k=10)
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -40,19 +49,26 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.fails(quality.BASE).alias("base_failed"), quality.passes("v2").alias("kept"), "failed")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return found.select(
-        "doc_id", *[secrets.count_of("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
-        F.sha2(secrets.joined_spans(F.col("base")), 256).alias("base_sha256"),
-        secrets.joined_spans(F.col("spans")).alias("spans"))
+        "doc_id", *[secret_scan.count_of("base", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.joined_spans(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.joined_spans(F.col("spans")).alias("spans"))
 
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
+    "op4_nearest": op4_nearest,
+    "op5_html_text": op5_html_text,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
+    "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
 }
 ORACLES: dict[str, str] = {}

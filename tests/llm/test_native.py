@@ -11,7 +11,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
-from shelfwise.llm import mixing, quality, queries, secrets, shards, urls  # noqa: E402
+from shelfwise.llm import mixing, quality, queries, secret_scan, shards, urls  # noqa: E402
 
 TABLES = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -163,8 +163,8 @@ def test_hilbert_is_a_walk(spark):
 @pytest.mark.parametrize("which", ["given", "odd"])
 def test_secrets(spark, odd, which):
     docs = given(spark) if which == "given" else odd
-    rows = secrets.scan(docs).withColumn("base_text", secrets.joined_spans(secrets.F.col("base"))).withColumn(
-        "all_text", secrets.joined_spans(secrets.F.col("spans"))).collect()
+    rows = secret_scan.scan(docs).withColumn("base_text", secret_scan.joined_spans(secret_scan.F.col("base"))).withColumn(
+        "all_text", secret_scan.joined_spans(secret_scan.F.col("spans"))).collect()
     assert len(rows) == docs.count()
     for row in rows:
         expected = brute.secrets(row["text"])
@@ -176,18 +176,18 @@ def test_secrets(spark, odd, which):
 def test_random_strings_are_told_from_readable(spark):
     import random
     rng = random.Random(7)
-    letters = secrets.BASE62
+    letters = secret_scan.BASE62
     keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(200)]
     readable = [f"the-quick-brown-fox-jumps-over-{i}-lazy-dogs-again-and-again" for i in range(200)]
     rows = [(i, f"see {t} here", "x") for i, t in enumerate(keys + readable)]
-    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
     hit = {r["doc_id"] for r in found if r["spans"]}
     assert len([i for i in hit if i < 200]) >= 190
     assert not [i for i in hit if i >= 200]
 
 
 def test_redaction(spark, odd):
-    cleaned = {r["doc_id"]: r["text"] for r in secrets.redact(secrets.scan(odd)).collect()}
+    cleaned = {r["doc_id"]: r["text"] for r in secret_scan.redact(secret_scan.scan(odd)).collect()}
     assert cleaned[1] is None and cleaned[2] == ""
     assert "abcdefg" not in cleaned[9] and "AKIASHORT" in cleaned[9] and 'PassWord: "abc"' in cleaned[9]
-    assert secrets.redact(secrets.scan(odd.limit(0))).count() == 0
+    assert secret_scan.redact(secret_scan.scan(odd.limit(0))).count() == 0
