@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import html_text, mixing, nearest, packing, quality, secret_scan, shards, urls
+from shelfwise.llm import html_text, mixing, near, nearest, packing, quality, secret_scan, shards, urls
 from shelfwise.llm.common import table
 
 # The url rules and hosts in use.
@@ -61,6 +61,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.joined_spans(F.col("spans")).alias("spans"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
@@ -70,5 +74,6 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
