@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import html_text, mixing, near, nearest, packing, quality, secret_scan, shards, urls
+from shelfwise.llm import html_text, mixing, near, nearest, packing, quality, secret_scan, shards, substrings, urls
 from shelfwise.llm.common import table
 
 # The url rules and hosts in use.
@@ -28,6 +28,11 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, BLOCKED_HOSTS).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = nearest.Index(table(spark, sf_dir, "embeddings"))
     return index.search(F.col("id") % 100 == 0, k=10)
@@ -68,6 +73,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
+    "op3_substrings": op3_substrings,
     "op4_nearest": op4_nearest,
     "op5_html_text": op5_html_text,
     "op6_sharding": op6_sharding,

@@ -84,6 +84,7 @@ class Hasher:
         raw = (sums[end] - sums[start]) * self._bytes.down[start]
         hashes = mixed(raw ^ (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407), 2)
         row = np.searchsorted(bounds, start, side="right") - 1
+        self._words.reach(len(start) + 1)
         return Words(len(texts), row, hashes, start, end, data)
 
     def grams(self, found: Words, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +92,6 @@ class Hasher:
         n = len(found.hash)
         if n < k:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self._words.reach(n + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(found.hash * self._words.up[:n])])
         raw = (sums[k:] - sums[:-k]) * self._words.down[:n - k + 1]
         at = np.flatnonzero(found.row[k - 1:] == found.row[:n - k + 1])
@@ -102,7 +102,6 @@ class Hasher:
         out = np.zeros(len(rows), np.uint64)
         for i, r in enumerate(rows):
             h = found.hash[bounds[r]:bounds[r + 1]]
-            self._words.reach(len(h))
             out[i] = (h * self._words.up[:len(h)]).sum(dtype=np.uint64) + np.uint64(len(h))
         return mixed(out, 7)
 

@@ -11,7 +11,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
-from shelfwise.llm import near  # noqa: E402
+from shelfwise.llm import near, substrings  # noqa: E402
 from shelfwise.llm.components import components  # noqa: E402
 
 TABLES = "/root/testdata/sf0.001"
@@ -90,3 +90,52 @@ def test_components(spark):
     expected = brute.components(1200, links)
     assert found == {v: expected[v] for a, b in links if a != b for v in (a, b)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def check_repeats(rows, texts, length):
+    expected = brute.repeats(texts, length)
+    for r in rows:
+        words, gone = expected[r["doc_id"]]
+        assert (r["n_words"], r["n_removed"]) == (len(words), len(gone)), r["doc_id"]
+        assert r["kept"] == " ".join(w for i, w in enumerate(words) if i not in gone)
+        assert {i for s in r["spans"] for i in range(s["start"], s["end"])} == gone
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+
+
+@pytest.mark.parametrize("length", [35, 12])
+def test_repeats(spark, length):
+    """Passages at all places of texts, in copies, within one text, overlapping, and next to each other."""
+    rng = random.Random(length)
+    vocabulary = [f"w{i}" for i in range(400)]
+    prose = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passages = [prose(n) for n in (length - 1, length, length + 1, 50, 60, 130)]
+    texts = [None, "", " ", "one", " ".join(prose(length - 1)), "x " * 200, "x " * (length + 1), "y " * length]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            parts += prose(rng.choice((0, 3, 20, 80))) + rng.choice(passages)[rng.choice((0, 0, 5)):]
+        texts.append("\n".join(parts))
+    base = prose(200)
+    for _ in range(30):
+        words = list(base)
+        for _ in range(rng.randrange(0, 6)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts.append("  ".join(words))
+    texts += texts[-3:] + [" ".join(prose(100))] * 2 + [" ".join(passages[5]), " ".join(passages[5])]
+    docs = spark.createDataFrame([(i, t, 1, "s") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, pos int, spans string")
+    check_repeats(substrings.remove_repeats(docs, length).collect(), texts, length)
+
+
+def test_repeats_given(spark):
+    rows = sorted(given(spark, "documents").collect(), key=lambda r: r["doc_id"])
+    assert [r["doc_id"] for r in rows] == list(range(len(rows)))
+    check_repeats(substrings.remove_repeats(given(spark, "documents")).collect(), [r["text"] for r in rows], 35)
+
+
+def test_repeats_odd_rows(spark):
+    rows = [(None, "a b"), (None, "a b"), (3, "q " * 40), (3, "q " * 40), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r["n_words"], r["n_removed"]) for r in substrings.remove_repeats(docs).collect())
+    assert found == [(0, 0), (2, 0), (2, 0), (40, 40), (40, 40)]
+    assert substrings.remove_repeats(docs.limit(0)).count() == 0
