@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import html_text, mixing, near, nearest, packing, quality, secret_scan, shards, substrings, urls
+from shelfwise.llm import html_text, mixing, near, nearest, oracles, packing, quality, secret_scan, shards, substrings, urls
 from shelfwise.llm.common import table
 
 # The url rules and hosts in use.
@@ -82,4 +82,10 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_mixing": oracles.OP1,
+    "op2_url_filters": oracles.op2(BLOCKED_HOSTS),
+    "op3_substrings": oracles.OP3,
+    "op7_quality": oracles.OP7,
+    "op10_jaccard_join": oracles.OP10,
+}
