@@ -19,7 +19,20 @@ JAMO_LEAD = "".join(map(chr, range(0x1100, 0x1113)))
 JAMO_VOWEL = "".join(map(chr, range(0x1161, 0x1176)))
 JAMO_TAIL = "".join(map(chr, range(0x11A8, 0x11C3)))
 
-ALL_DIGITS = "^[\\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
+# What parts words: Unicode white space and the four separator characters before the blank.
+WORD_GAP = "[" + C.EDGE_SPACES + "\x1c-\x1f]+"
+
+
+@lru_cache(maxsize=1)
+def all_digits() -> str:
+    """A pattern for texts of digits only: every character with a digit value, circled and raised ones included."""
+    codes = [code for code in range(sys.maxunicode + 1) if unicodedata.digit(chr(code), None) is not None]
+    parts, first = [], codes[0]
+    for code, following in zip(codes, [*codes[1:], None]):
+        if following != code + 1:
+            parts.append(f"\\x{{{first:X}}}-\\x{{{code:X}}}")
+            first = following
+    return "^[" + "".join(parts) + "]+$"
 
 
 @lru_cache(maxsize=1)
@@ -108,8 +121,8 @@ def brand_root(brand: Column) -> Column:
     """A verified brand found inside wins; else the brand without noise words and numbers."""
     upper = F.upper(brand)
     kept = F.filter(
-        F.split(trim_edges(upper), r"\s+"),
-        lambda word: (word != "") & ~word.isin(*C.NOISE_TOKENS) & ~word.rlike(ALL_DIGITS),
+        F.split(trim_edges(upper), WORD_GAP),
+        lambda word: (word != "") & ~word.isin(*C.NOISE_TOKENS) & ~word.rlike(all_digits()),
     )
     root = F.coalesce(F.nullif(F.array_join(kept, " "), F.lit("")), upper)
     return reduce(
@@ -135,7 +148,7 @@ def wrong_barcode(value: Column, empty_fails: bool = False) -> Column:
 
 def parse_day(text: Column) -> Column:
     """A year-month-day text as a date, null where it is no such day."""
-    shape = r"^[0-9]{4}-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9]| [1-9])$"
+    shape = r"^[0-9]{4}-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9]| [1-9])\z"
     return F.when(
         text.rlike(shape) & ~text.startswith("0000"), F.replace(text, F.lit("- "), F.lit("-")).try_cast("date")
     )

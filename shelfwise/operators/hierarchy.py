@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.constants import GLOBAL_LEVELS, LOCAL_LEVELS
+from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning, attach
+from shelfwise.operators.materialise import settle
 
 
 def adjacent(levels: Sequence[str]) -> list[tuple[str, str]]:
@@ -27,20 +29,27 @@ def level_links(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.select(F.explode(links).alias("link")).select("link.*").distinct()
 
 
-def hierarchy_warnings(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """(child_level, parent_level, child_value, parents): child values with more than one parent value.
+KEY = ["child_level", "parent_level", "child_value"]
+
 
-    Level pairs whose columns are absent are skipped. Missing parents are not counted and not listed.
+def hierarchy_conflicts(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None,
+                        tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
+    """(child_level, parent_level, child_value, parent_value, parents): one row per parent of a child value that has
+    more than one, with their number. No group is gathered, so a catch-all child with very many parents is no
+    single row. Level pairs whose columns are absent are skipped. Missing parents are not counted and not listed.
     """
     if pairs is None:
         pairs = [(up, down) for up, down in DEFAULT_PAIRS if up in df.columns and down in df.columns]
-    key = ["child_level", "parent_level", "child_value"]
-    # The links are distinct already, so a group holds each parent value once, whatever the row counts.
-    return (
-        level_links(df, pairs).filter(F.col("parent_value").isNotNull())
-        .groupBy(*key).agg(F.array_sort(F.collect_list("parent_value")).alias("parents"))
-        .filter(F.size("parents") > 1)
-    )
+    # The links are distinct already, so a child holds each parent value once, whatever the row counts.
+    links = settle(level_links(df, pairs).filter(F.col("parent_value").isNotNull()), "level-links").frame
+    several = links.groupBy(*KEY).agg(F.count(F.lit(1)).alias("parents")).filter("parents > 1")
+    return attach(links, several, {k: k for k in KEY}, "inner", tuning)
+
+
+def hierarchy_warnings(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """The conflicts as a report: (child_level, parent_level, child_value, parents), the parents in one array."""
+    return hierarchy_conflicts(df, pairs).groupBy(*KEY).agg(
+        F.array_sort(F.collect_list("parent_value")).alias("parents"))
 
 
 def inconsistent_children(df: DataFrame, up: str, down: str) -> DataFrame:

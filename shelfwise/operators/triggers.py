@@ -23,21 +23,33 @@ TRIGGER_LOG = ("id string not null, trigger_time timestamp not null, trigger_job
                "status string not null")
 
 
+# A first page of up to so many rows is gathered in one task.
+FIRST_PAGE = 10_000
+
+
 def page(runs: DataFrame, order: Sequence[str], limit: int | None = None, offset: int = 0) -> DataFrame:
     """One page of a run listing; without a limit everything from the offset on."""
-    if limit is not None:
-        return runs.orderBy(*order).offset(offset).limit(limit)
-    if offset == 0:
+    if limit is None and offset == 0:
         return runs
+    if offset == 0 and limit <= FIRST_PAGE:
+        return runs.orderBy(*order).limit(limit)
+    # A deep page must not gather all the rows before it: rows are numbered in ranges, and the page cut out.
     numbered = number_in_order(runs.withColumn("__all", F.lit(0)), "__all", order, "__at")
-    return numbered.filter(F.col("__at") > offset).drop("__all", "__at")
+    wanted = F.col("__at") > offset
+    if limit is not None:
+        wanted = wanted & (F.col("__at") <= offset + limit)
+    return numbered.filter(wanted).drop("__all", "__at")
 
 
 def new_runs(runs: DataFrame, log: DataFrame, run_id: str = "id", tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """Runs whose id the log does not hold.
+    """Runs whose id the log does not hold, each id once.
 
-    The log grows for ever and a round of runs is small, so the log is first reduced to the ids of this round.
+    An id that occurs several times in the round is one run: its line that is smallest as JSON stays. The log grows
+    for ever and a round of runs is small, so the log is first reduced to the ids of this round.
     """
+    line = F.struct(*[f"`{c}`" for c in runs.columns])
+    runs = runs.groupBy(F.col(run_id).alias("__id")).agg(F.min_by(line, F.to_json(line)).alias("__line")).select(
+        "__line.*")
     asked = runs.select(F.col(run_id).alias("asked")).distinct()
     known = attach(log.select(F.col(run_id).alias("seen")), asked, {"seen": "asked"}, "left_semi", tuning).distinct()
     return attach(runs, known, {run_id: "seen"}, "left_anti", tuning)

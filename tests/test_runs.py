@@ -92,3 +92,11 @@ def test_stream_sees_each_run_once_and_replays_safely(spark, runs, tmp_path):
             shutil.move(path, tmp_path / f"taken-{name}")
     assert round_trip() == ["r1", "r2", "r3", "r4"]
     assert spark.read.parquet(requests).count() == 4
+
+
+def test_a_run_occurs_once(spark):
+    runs = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "z"), ("b", "y"), ("c", "x"), (None, "n")],
+                                 "id string, name string")
+    log = spark.createDataFrame([("c",)], "id string")
+    found = sorted(((r["id"] or ""), r["name"]) for r in T.new_runs(runs, log).collect())
+    assert found == [("", "n"), ("a", "x"), ("b", "y")]

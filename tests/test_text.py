@@ -113,3 +113,15 @@ def test_canonical(spark):
                                "a string, fa int, b string, fb int")
     chosen = df.select(canonical_of(F.col("a"), F.col("fa"), F.col("b"), F.col("fb"))).collect()
     assert [r[0] for r in chosen] == ["AB", "XYZ", "AB", "X"]
+
+
+def test_root_knows_all_white_space_and_digits(spark):
+    rows = [("TEX IMPORT", "TEX"), ("TEX 　 12", "TEX"), ("TEX ①", "TEX"), ("TEX\x1c12", "TEX"),
+            ("TEX ②³ ٣", "TEX"), ("TEX ½", "TEX ½")]
+    df = spark.createDataFrame([(a,) for a, _ in rows], "b string")
+    assert [r[0] for r in df.select(text.brand_root(F.col("b"))).collect()] == [b for _, b in rows]
+
+
+def test_day_with_a_line_end_is_no_day(spark):
+    df = spark.createDataFrame([("2024-01-05\n",), ("2024-01-05",)], "d string")
+    assert [r[0] is None for r in df.select(text.parse_day(F.col("d"))).collect()] == [True, False]

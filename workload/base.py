@@ -26,7 +26,8 @@ select {row_id} cast(k % 5 as string) as country_id,
        else lpad(cast(k as string), 13, '0') end as barcode,
   concat('  ', p_name, case when k % 4 = 0 then ' crème  brûlée' else '' end,
          case when cp = 2 then ' bis' else '' end) as item_desc,
-  case when k % 11 = 0 then 'SANS MARQUE' when k % 43 = 0 then 'n/a' when k % 3 = 0 then replace(p_brand, '#', ' ')
+  case when k % 41 = 0 then concat('TEX', chr(160), 'IMPORT \u3000 12') when k % 47 = 0 then 'TEX ① ²'
+       when k % 11 = 0 then 'SANS MARQUE' when k % 43 = 0 then 'n/a' when k % 3 = 0 then replace(p_brand, '#', ' ')
        when k % 3 = 1 then concat(p_brand, ' IMPORT') else p_brand end as local_brand_name,
   case when k % 7 = 0 then null when k % 5 = 0 then concat(replace(p_brand, '#', '-'), ' ', cast(k % 9 as string))
        else p_brand end as global_brand_name,
@@ -107,8 +108,10 @@ def clean_sql(c: str) -> str:
 
 
 def root_sql(c: str) -> str:
-    words = (f"list_filter(regexp_split_to_array(trim(upper({c}), {EDGES}), '\\s+'), lambda w: w <> '' "
-             f"and w not in ({quoted(C.NOISE_TOKENS)}) and not regexp_full_match(w, '[\\p{{Nd}}²³¹⁰⁴-⁹₀-₉]+'))")
+    # Every white space becomes a blank first; digits are those of the decimal category and the listed others.
+    plain = f"regexp_replace(upper({c}), '[\\x09-\\x0D\\x1C-\\x1F\\x85\\p{{Z}}]', ' ', 'g')"
+    words = (f"list_filter(string_split(trim({plain}), ' '), lambda w: w <> '' and w not in ({quoted(C.NOISE_TOKENS)}) "
+             f"and not regexp_full_match(w, '[\\p{{Nd}}²³¹①-⑨]+'))")
     return (f"case when {c} is null then null when contains(upper({c}), 'PETIT BATEAU') then 'PETIT BATEAU' "
             f"else coalesce(nullif(array_to_string({words}, ' '), ''), upper({c})) end")
 

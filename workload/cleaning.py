@@ -14,7 +14,7 @@ from shelfwise.sources.tables import (
     write_word_list,
 )
 from workload.base import (
-    branded, branded_sql, clean_sql, cleaned, cleaned_sql, products, quoted, table,
+    MISSING, branded, branded_sql, clean_sql, cleaned, cleaned_sql, products, quoted, table,
 )
 
 WORDS = r"[ \t\n\f\r]+"
@@ -66,9 +66,10 @@ def _csv_round_trip(spark, sf):
 
 def _csv_with_index(spark, sf):
     path = fresh_path(spark, "indexed")
-    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    customers = table(spark, sf, "customer")
     write_csv_with_index(customers, path, ["c_mktsegment", "c_custkey"])
-    return read_csv(spark, path, "index long, c_custkey long, c_name string, c_mktsegment string")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in customers.schema.fields)
+    return read_csv(spark, path, f"index long, {fields}")
 
 
 def _replaced_table(spark, sf):
@@ -83,18 +84,24 @@ def _appended_log(spark, sf):
     path = fresh_path(spark, "log")
     create_if_absent(spark, path, "id string, status string")
     orders = table(spark, sf, "orders")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         append_rows(orders.filter(F.col("o_orderstatus") == status).select(
             F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status")), path)
     return read_table(spark, path)
 
 
+def _missing_brands(spark, sf):
+    """How many "no brand" words there are before and after they are turned into nulls."""
+    before, after = left_over_missing_brands(cleaned(spark, sf)), left_over_missing_brands(branded(spark, sf))
+    return before.withColumn("step", F.lit("before")).unionByName(after.withColumn("step", F.lit("after")))
+
+
 QUERIES = {
     "clean_products": lambda s, d: clean_frame(products(s, d)),
     "clean_documents": lambda s, d: clean_frame(table(s, d, "documents")),
     "clean_regions": _nations,
     "null_brands": branded,
-    "missing_brands_left": lambda s, d: left_over_missing_brands(branded(s, d)),
+    "missing_brands_left": _missing_brands,
     "repair_cells": lambda s, d: repair_cells(_damaged(s, d)),
     "describe_items": lambda s, d: cleaned(s, d, with_id=True).select(
         "row_id", text.describe(F.col("item_desc"), F.col("local_brand_name"), F.col("global_brand_name"))
@@ -122,8 +129,9 @@ ORACLES = {
     "clean_regions": "select n_nationkey, upper(n_name) as n_name, r_name from nation "
                      "join region on n_regionkey = r_regionkey",
     "null_brands": f"{branded_sql()} select * from nb",
-    "missing_brands_left": "select unnest(['local_brand_name', 'global_brand_name']) as column_name, "
-                           "0::bigint as left_over",
+    "missing_brands_left": f"{branded_sql()} " + " union all ".join(
+        f"select '{c}' as column_name, '{step}' as step, count(*) filter ({c} in ({MISSING})) as left_over from {rows}"
+        for c in C.BRAND_COLUMNS for step, rows in (("before", "cl"), ("after", "nb"))),
     "repair_cells": "select id, name, case when contains(title, '?') then "
                     f"case title {_FIXES} else title end else title end as title "
                     f"from ({DAMAGED.replace('{part}', 'part')})",
@@ -135,9 +143,7 @@ ORACLES = {
     "json_lines_words": _FR_WORDS,
     "word_list_text": f"select word || ' ' || freq::varchar as line from ({_FR_WORDS})",
     "csv_round_trip": f"{cleaned_sql()} select * from cl",
-    "csv_with_index": "select row_number() over (order by c_mktsegment, c_custkey) - 1 as index, c_custkey, c_name, "
-                      "c_mktsegment from customer",
+    "csv_with_index": "select row_number() over (order by c_mktsegment, c_custkey) - 1 as index, * from customer",
     "replaced_table": f"{cleaned_sql()} select * from cl",
-    "appended_log": "select o_orderkey::varchar as id, o_orderstatus as status from orders "
-                    "where o_orderstatus in ('F', 'O')",
+    "appended_log": "select o_orderkey::varchar as id, o_orderstatus as status from orders",
 }

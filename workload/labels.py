@@ -73,7 +73,7 @@ def _level_accuracy(spark, sf):
 
 
 def _split_rows(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    docs = table(spark, sf, "documents")
     train, test = tag_split(docs.filter(F.col("doc_id") % 5 != 0), docs.filter(F.col("doc_id") % 5 == 0))
     return train.unionByName(test)
 
@@ -189,7 +189,7 @@ ORACLES = {
     "zscore": "select p_partkey, " + ", ".join(
         f"round(({c} - avg({c}) over ()) / stddev_pop({c}) over (), 6) as {c}_z" for c in ("p_size", "p_retailprice"))
         + " from part",
-    "train_test_split": "select doc_id, lang, case when doc_id % 5 = 0 then 'test' else 'train' end as split "
+    "train_test_split": "select *, case when doc_id % 5 = 0 then 'test' else 'train' end as split "
                         "from documents",
     "class_weights": "select label, n, round(sum(n) over () / (2.0 * greatest(n, 1)), 9)::double as weight from ("
                      "select l.label, count(labels.quality) as n from (select unnest([0, 1]) as label) l left join "

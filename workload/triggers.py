@@ -41,7 +41,9 @@ def _select_list(sql):
 
 
 def _runs(spark, sf):
-    return _as_runs(table(spark, sf, "events"))
+    """Every event, and every 50th a second time: a landing folder can hold the same run twice."""
+    events = table(spark, sf, "events")
+    return _as_runs(events.unionByName(events.filter("event_id % 50 = 0")))
 
 
 def _logged(spark, sf):
@@ -71,13 +73,18 @@ def _log_lines(part):
     return lambda s, d: run_log_lines(_runs(s, d), _logged(s, d), TRIGGERS, _stamp())[part]
 
 
-def _stream(spark, sf):
+def _stream(spark, sf, log="parameter_log"):
+    """Three landed files, one micro-batch each; some runs occur twice in a file and again in the next one."""
     events = table(spark, sf, "events")
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     base = fresh_path(spark, "stream")
+    for part in range(3):
+        own = events.filter(F.col("event_id") % 3 == part)
+        again = events.filter((F.col("event_id") % 3 != (part + 1) % 3) & (F.col("event_id") % 50 == 0))
+        own.unionByName(again).coalesce(1).write.mode("append").parquet(f"{base}/landed")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
     watch_runs(_as_runs(stream), f"{base}/parameter_log", f"{base}/trigger_log", f"{base}/checkpoint", TRIGGERS,
                _stamp()).awaitTermination()
-    return spark.read.parquet(f"{base}/parameter_log").drop("batch_id")
+    return spark.read.parquet(f"{base}/{log}").drop("batch_id")
 
 
 QUERIES = {
@@ -85,7 +92,8 @@ QUERIES = {
     "known_ids": lambda s, d: _logged(s, d).distinct(),
     "run_report": lambda s, d: T.notification_report(_unseen(s, d)).withColumn(
         "parameters", F.to_json("parameters")),
-    "run_page": lambda s, d: T.page(_runs(s, d).select("id", "name"), ["id"], limit=500, offset=500),
+    "run_page": lambda s, d: T.page(
+        _as_runs(table(s, d, "events")).select("id", "name"), ["id"], limit=500, offset=500),
     "run_params": lambda s, d: _checked(s, d).select(
         "id", F.array_join("missing", "|").alias("missing"), "status", "status_infos"),
     "fan_out": lambda s, d: _requests(s, d).select(
@@ -93,6 +101,7 @@ QUERIES = {
     "parameter_log": _log_lines(0),
     "trigger_log": _log_lines(1),
     "stream_new_runs": _stream,
+    "stream_requests": lambda s, d: _stream(s, d, "trigger_log"),
 }
 
 # ---- oracles ----------------------------------------------------------------------------------------------------
@@ -121,6 +130,12 @@ _PARAMETER_LOG = (f"{_RUNS_SQL} select id, name as run_name, {_WHEN} as detect_t
                   "'{\"id\":\"' || id || '\",\"name\":\"' || name || '\",\"parameters\":' || " + _PAR_TEXT
                   + " || '}' as raw, state as status, infos as status_infos from {source}")
 
+_TRIGGER_LOG = (f"{_RUNS_SQL} select id, {_WHEN} as trigger_time, sha256(id || '|' || target_id) as "
+                "trigger_job_id, request_name as trigger_job_name, request_parameters as parameters, "
+                "'{\"target_id\":\"' || target_id || '\",\"target_name\":\"' || target_name || "
+                "'\",\"request_name\":\"' || request_name || '\",\"request_parameters\":' || request_parameters "
+                "|| '}' as raw, 'trigger' as status from asked")
+
 ORACLES = {
     "new_runs": f"{_RUNS_SQL} select id, name, status from unseen",
     "known_ids": f"{_RUNS_SQL} select id from known",
@@ -129,14 +144,12 @@ ORACLES = {
     "run_params": f"{_RUNS_SQL} select id, missing, state as status, infos as status_infos from told",
     "fan_out": f"{_RUNS_SQL} select * from asked",
     "parameter_log": _PARAMETER_LOG.replace("{source}", "told"),
-    "trigger_log": f"{_RUNS_SQL} select id, {_WHEN} as trigger_time, sha256(id || '|' || target_id) as "
-                   "trigger_job_id, request_name as trigger_job_name, request_parameters as parameters, "
-                   "'{\"target_id\":\"' || target_id || '\",\"target_name\":\"' || target_name || "
-                   "'\",\"request_name\":\"' || request_name || '\",\"request_parameters\":' || request_parameters "
-                   "|| '}' as raw, 'trigger' as status from asked",
+    "trigger_log": _TRIGGER_LOG,
     "stream_new_runs": _PARAMETER_LOG.replace(
         "{source}", "(select *, case when missing = '' then 'detected' else 'error' end as state, case when p_month "
         "is null then 'Missing parameter: month' when p_k is null then 'Missing parameter: k' else '' end as infos "
         "from (select *, array_to_string(list_filter([case when p_k is null then 'k' end, case when p_month is null "
         "then 'month' end], lambda m: m is not null), '|') as missing from pars))"),
+    # The stream starts with empty logs, so every run is new.
+    "stream_requests": _TRIGGER_LOG.replace("where id not in (select id from known)", ""),
 }

@@ -93,6 +93,7 @@ QUERIES = {
         cleaned(s, d), "local_hierarchy_level2_desc", "local_hierarchy_level3_desc"),
         "Corresponding_local_hierarchy_level2_desc"),
     "hierarchy_geography": _geography,
+    "hierarchy_conflicts": lambda s, d: H.hierarchy_conflicts(cleaned(s, d)),
 }
 
 # ---- oracles ----------------------------------------------------------------------------------------------------
@@ -133,10 +134,14 @@ report as (select array_to_string(list_sort(array_agg(distinct reason)), '|') as
   group by {_ALL})"""
 
 
-def _warnings(pairs, source):
-    lines = " union all ".join(
+def _level_lines(pairs, source):
+    return " union all ".join(
         f"select '{down}' as child_level, '{up}' as parent_level, {down} as child_value, {up} as parent from {source}"
         for up, down in pairs)
+
+
+def _warnings(pairs, source):
+    lines = _level_lines(pairs, source)
     return ("select child_level, parent_level, child_value, array_to_string(list_sort(array_agg(distinct parent)), "
             f"'|') as parents from ({lines}) where parent is not null group by 1, 2, 3 "
             "having count(distinct parent) > 1")
@@ -170,6 +175,10 @@ ORACLES = {
                  f"{_ALL} from hits) group by 1",
     "excluded_array": f"{cleaned_sql()}{_UNION} select * from report",
     "clean_subtract": f"{cleaned_sql()}{_UNION} select * from cl except select {_ALL} from report",
+    "hierarchy_conflicts": f"{cleaned_sql()} select child_level, parent_level, child_value, parent as parent_value, "
+                           "count(*) over (partition by child_level, parent_level, child_value) as parents from ("
+                           f"select distinct * from ({_level_lines(_PAIRS, 'cl')}) where parent is not null) "
+                           "qualify parents > 1",
     "hierarchy_warnings": f"{cleaned_sql()} {_warnings(_PAIRS, 'cl')}",
     "inconsistent_children": f"{cleaned_sql()} select child_value as local_hierarchy_level3_desc, parents as "
                              "Corresponding_local_hierarchy_level2_desc from ("
