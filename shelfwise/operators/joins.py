@@ -25,9 +25,7 @@ class JoinTuning:
 
     max_rows: int | None = None
     max_bytes: int | None = None
-    # At most this many keys are split, which bounds the broadcast list of hot keys. Any other key holds fewer
-    # rows than each of them, so less than 1/hot_keys of all rows.
-    hot_keys: int = 1024
+    # Every key with so many rows is split, so there are at most rows / hot_floor of them.
     hot_floor: int = 1_000_000
     rows_per_salt: int = 250_000
 
@@ -43,20 +41,23 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], tuning: JoinTuning) -> DataFr
     """The keys worth splitting, as ``__h0.. , __salts``; counted with map-side partial sums."""
     named = [F.col(f"`{key}`").alias(f"__h{i}") for i, key in enumerate(keys)]
     counts = rows.select(*named).groupBy(*[f"__h{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("__n"))
-    hottest = counts.filter(F.col("__n") >= tuning.hot_floor).orderBy(F.desc("__n")).limit(tuning.hot_keys)
+    hottest = counts.filter(F.col("__n") >= tuning.hot_floor)
     return hottest.withColumn("__salts", F.ceil(F.col("__n") / tuning.rows_per_salt)).drop("__n")
 
 
-def _with_salts(side: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+def _with_salts(side: DataFrame, keys: Sequence[str], hot: Settled) -> DataFrame:
     match = null_safe([(F.col(f"`{key}`"), F.col(f"__h{i}")) for i, key in enumerate(keys)])
-    marked = side.join(F.broadcast(hot), match, "left").drop(*[f"__h{i}" for i in range(len(keys))])
+    marked = side.join(F.broadcast(hot.frame) if hot.fits() else hot.frame, match, "left").drop(*[f"__h{i}" for i in range(len(keys))])
     return marked.withColumn("__salts", F.coalesce("__salts", F.lit(1)))
 
 
 def salted_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], on: Sequence[str], how: str,
                 tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """Null-safe shuffle join of rows to a lookup keyed by ``on``, with the rows of hot keys spread."""
-    hot = settle(hot_keys(rows, keys, tuning), "hot").frame
+    """Null-safe shuffle join of rows to a lookup keyed by ``on``, with the rows of hot keys spread.
+
+    ``rows`` is read twice, so it should be a written table.
+    """
+    hot = settle(hot_keys(rows, keys, tuning), "hot")
     # The salt depends only on the row and the input partition, so a retried task gives the same one; equal copies
     # of a row still spread, because they come from many partitions.
     plain = [f"`{f.name}`" for f in rows.schema.fields if isinstance(f.dataType, AtomicType)]
@@ -89,5 +90,6 @@ def attach(rows: DataFrame, lookup: DataFrame | Settled, on: Mapping[str, str],
         match = null_safe([(F.col(f"`{k}`"), F.col(m)) for k, m in zip(keys, marks)])
         joined = rows.join(F.broadcast(right), match, how)
     else:
-        joined = salted_join(rows, right, keys, marks, how, tuning)
+        # Written first, so that what stands before it is computed once, also in a chain of such joins.
+        joined = salted_join(settle(rows, "base").frame, right, keys, marks, how, tuning)
     return joined.drop(*marks)

@@ -41,10 +41,10 @@ def category_index(df: DataFrame, columns: Sequence[str], missing: str = "nan")
     return number_in_order(values.distinct(), "column_name", ["value"], "idx", first=0)
 
 
-def _one_column(label_map: Settled, column: str, key: str, value: str) -> Settled:
-    part = label_map.frame.filter(F.col("column_name") == column).select(
-        F.col(key).alias("__key"), F.col(value).alias("__found"))
-    return label_map.narrowed(part)
+def _one_column(parts: dict[str, Settled], label_map: Settled, column: str, key: str, value: str) -> Settled:
+    """The lookup of one column, judged by its own size; empty for a column the map does not know."""
+    part = parts.get(column) or label_map.narrowed(label_map.frame.limit(0))
+    return part.narrowed(part.frame.select(F.col(key).alias("__key"), F.col(value).alias("__found")))
 
 
 def encode_labels(df: DataFrame, label_map: DataFrame, columns: Sequence[str] = GLOBAL_LEVELS, prefix: str = "",
@@ -56,9 +56,10 @@ def encode_labels(df: DataFrame, label_map: DataFrame, columns: Sequence[str] =
     """
     _present(df, [prefix + c for c in columns])
     known = settle(label_map, "label-map")
+    parts = known.parts("column_name")
     for c in columns:
         df = (
-            attach(df, _one_column(known, c, "value", "idx"), {prefix + c: "__key"}, tuning=tuning)
+            attach(df, _one_column(parts, known, c, "value", "idx"), {prefix + c: "__key"}, tuning=tuning)
             .withColumn(f"{prefix}{c}_idx", F.coalesce("__found", F.lit(0)).cast("int")).drop("__found")
         )
     return df
@@ -68,10 +69,11 @@ def decode_labels(df: DataFrame, label_map: DataFrame, columns: Sequence[str] =
                   tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
     """Turn ``pred_<column><idx_suffix>`` numbers into the labels ``pred_<column>``."""
     known = settle(label_map, "label-map")
+    parts = known.parts("column_name")
     for c in columns:
         source = f"pred_{c}{idx_suffix}"
         df = (
-            attach(df, _one_column(known, c, "idx", "value"), {source: "__key"}, tuning=tuning)
+            attach(df, _one_column(parts, known, c, "idx", "value"), {source: "__key"}, tuning=tuning)
             .withColumnRenamed("__found", f"pred_{c}").drop(source)
         )
     return df

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A table is broadcast only when both bounds hold; the bytes are those of the decoded rows.
@@ -24,12 +30,40 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {DIR_SETTING} to a folder that all executors can reach")
         named = tempfile.mkdtemp(prefix="shelfwise-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def _located(spark: SparkSession, name: str):
+    """The file system and path object of a name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_RUN_FOLDER.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the steps of one run, deleted at its end, also after an error. Frames that read a step must have
+    been written out by then. Inside another run its folder is used."""
+    outer = _RUN_FOLDER.get()
+    if outer is not None:
+        yield outer
+        return
+    folder = fresh_path(spark, "run")
+    mark = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(mark)
+        system, path = _located(spark, folder)
+        system.delete(path, True)
 
 
 def _row_bytes(schema: T.StructType) -> str:
@@ -61,10 +95,25 @@ class Settled:
         part._parent = self
         return part
 
+    def parts(self, column: str) -> dict[str, Settled]:
+        """The rows of each value of a short text column, each part with its own size; one pass measures all."""
+        sizes = self.frame.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr(
+            f"cast({_row_bytes(self.frame.schema)} as long)")).alias("size")).collect()
+        found = {}
+        for line in sizes:
+            part = Settled(self.frame.filter(F.col(column).eqNullSafe(line[column])), self.path)
+            part._measured = (line["n"], line["size"] or 0)
+            found[line[column]] = part
+        return found
+
     def bytes_on_disk(self) -> int:
-        spark = self.frame.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        system, path = _located(self.frame.sparkSession, self.path)
+        return system.getContentSummary(path).getLength()
+
+    def delete(self) -> None:
+        """Delete the files of a step that nothing reads any more."""
+        system, path = _located(self.frame.sparkSession, self.path)
+        system.delete(path, True)
 
     def measure(self) -> tuple[int, int]:
         """(rows, decoded bytes)."""
@@ -80,7 +129,8 @@ class Settled:
         """Whether the table may be broadcast. Large files are refused unread."""
         max_rows = BROADCAST_ROWS if max_rows is None else max_rows
         max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
-        if self.bytes_on_disk() > max(max_bytes, SMALL_FILE):
+        known = self._measured is not None or (self._parent is not None and self._parent._measured is not None)
+        if not known and self.bytes_on_disk() > max(max_bytes, SMALL_FILE):
             return False
         rows, size = self.measure()
         return rows <= max_rows and size <= max_bytes

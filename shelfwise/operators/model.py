@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import (
+    LogisticRegression, LogisticRegressionModel, MultilayerPerceptronClassifier,
+)
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators.labels import level_target
+from shelfwise.operators.materialise import settle
 from shelfwise.operators.metrics import class_weights
 
 HIDDEN = 128
-# A level model holds one coefficient row per class on the driver; more classes than this is refused.
-MAX_CLASSES = 5_000
+# So many models are fitted at the same time; each is a chain of small jobs.
+FITS_AT_ONCE = 8
+# The perceptron takes no weights, so rows are repeated, each class up to about so many times its share.
+FINEST_REPEAT = 8
 
 
 def _weights(train: DataFrame, label: str) -> dict[int, float]:
@@ -26,6 +35,8 @@ def train_error_model(train: DataFrame, label: str = "is_error", features: str =
                       epochs: int = 100, start_from: Model | None = None) -> PipelineModel:
     """Fit P(row is wrong). Classes are balanced by weights, or by repeating rows for the perceptron, which takes
     no weights. ``start_from`` continues a perceptron from earlier weights."""
+    if start_from is not None and kind != "perceptron":
+        raise ValueError("only a perceptron can be trained on from earlier weights")
     weights = _weights(train, label)
     ready = train.withColumn("__label", F.col(label).cast("int").cast("double"))
     if kind == "logistic":
@@ -35,9 +46,13 @@ def train_error_model(train: DataFrame, label: str = "is_error", features: str =
                                  predictionCol="__prediction", family="binomial")
         model = fit.fit(ready.withColumn("__weight", weight))
     elif kind == "perceptron":
-        light = min(weights.values())
-        times = F.when(F.col("__label") == 1, round(weights[1] / light)).otherwise(round(weights[0] / light))
-        balanced = ready.withColumn("__again", F.explode(F.sequence(F.lit(1), times))).drop("__again")
+        # The ratio of the weights as a fraction of small numbers: 1.4 to 1 repeats one class 7 times, the other 5.
+        ratio = Fraction(weights[1] / weights[0]).limit_denominator(FINEST_REPEAT) if weights[1] >= weights[0] else (
+            1 / Fraction(weights[0] / weights[1]).limit_denominator(FINEST_REPEAT))
+        times = F.when(F.col("__label") == 1, ratio.numerator).otherwise(ratio.denominator)
+        copies = ready.withColumn("__again", F.explode(F.sequence(F.lit(1), times)))
+        # The copies of one row are spread over all tasks.
+        balanced = copies.repartition(F.xxhash64("__again", F.monotonically_increasing_id())).drop("__again")
         width = len(train.select(features).first()[0])
         fit = MultilayerPerceptronClassifier(featuresCol=features, labelCol="__label", maxIter=epochs, seed=1,
                                              layers=[width, HIDDEN, HIDDEN, 2], probabilityCol="__probability",
@@ -60,29 +75,79 @@ def score_errors(df: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class LevelModel:
+    """Predicts the number of a label bit by bit, the highest first, each bit given the ones before it.
+
+    Its size grows with the logarithm of the number of labels, so a level may have any number of them.
+    """
+
+    top: int  # the largest number it can give
+    bits: tuple[LogisticRegressionModel, ...]
+
+    def predict(self, df: DataFrame, out: str, features: str = "features") -> DataFrame:
+        names = [f"__bit{i}" for i in range(len(self.bits))]
+        for i, model in enumerate(self.bits):
+            ready = _with_bits(df, features, names[:i])
+            df = model.transform(ready).withColumn(names[i], F.col("__prediction")).drop(
+                "__in", "__prediction", "__probability", "__raw")
+        number = sum((F.col(name) * (1 << (len(names) - 1 - i)) for i, name in enumerate(names)), F.lit(0))
+        # Bits that were never seen together can name no label; the largest number stands for them.
+        return df.withColumn(out, F.least(number, F.lit(self.top)).cast("int")).drop(*names)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        spark.createDataFrame([(self.top, len(self.bits))], "top long, bits int").write.mode("overwrite").parquet(
+            f"{path}/size")
+        for i, model in enumerate(self.bits):
+            model.write().overwrite().save(f"{path}/bit{i}")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LevelModel:
+        size = spark.read.parquet(f"{path}/size").first()
+        return LevelModel(size["top"], tuple(LogisticRegressionModel.load(f"{path}/bit{i}")
+                                             for i in range(size["bits"])))
+
+
+def _with_bits(df: DataFrame, features: str, earlier: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=[features, *earlier], outputCol="__in").transform(df)
+
+
+def _fit_bit(ready: DataFrame, features: str, names: Sequence[str], i: int, epochs: int) -> LogisticRegressionModel:
+    fit = LogisticRegression(featuresCol="__in", labelCol=names[i], maxIter=epochs, regParam=1e-4, family="binomial",
+                             probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction")
+    return fit.fit(_with_bits(ready, features, names[:i]).select("__in", names[i]))
+
+
 def train_level_models(train: DataFrame, levels: Sequence[str], label: str = "is_error", features: str = "features",
-                       prefix: str = "correct_", epochs: int = 100) -> dict[str, PipelineModel]:
-    """One classifier per level on the shared features. A wrong row teaches its corrected level; rows whose
-    correction is unknown to the training frame (no such column) teach nothing when wrong."""
-    models = {}
-    for c in levels:
-        has_fix = f"{prefix}{c}_idx" in train.columns
-        wrong = F.col(label).cast("int") == 1
-        target = level_target(c, wrong, prefix) if has_fix else F.when(~wrong, F.col(f"{c}_idx"))
-        ready = train.select(features, target.cast("double").alias("__label")).filter(F.col("__label").isNotNull())
-        top = ready.agg(F.max("__label")).first()[0]
-        if top is None or top >= MAX_CLASSES:
-            raise ValueError(f"level {c!r} has {'no rows' if top is None else f'{int(top) + 1} classes'} to learn from")
-        fit = LogisticRegression(featuresCol=features, labelCol="__label", maxIter=epochs, regParam=1e-4,
-                                 family="multinomial", probabilityCol="__probability", rawPredictionCol="__raw",
-                                 predictionCol="__prediction")
-        models[c] = PipelineModel(stages=[fit.fit(ready)])
-    return models
-
-
-def predict_levels(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """Add ``pred_<level>_idx`` per level."""
+                       prefix: str = "correct_", epochs: int = 100) -> dict[str, LevelModel]:
+    """One model per level on the shared features. A wrong row teaches its corrected level.
+
+    The bits of all levels learn from the true earlier bits, so they are independent and fitted some at a time.
+    """
+    absent = [f"{prefix}{c}_idx" for c in levels if f"{prefix}{c}_idx" not in train.columns]
+    if absent:
+        raise ValueError(f"no corrected level to learn from: {absent}")
+    wrong = F.col(label).cast("int") == 1
+    targets = train.select(features, *[level_target(c, wrong, prefix).cast("long").alias(f"__t{j}")
+                                       for j, c in enumerate(levels)])
+    tops = targets.agg(*[F.max(f"__t{j}").alias(f"m{j}") for j in range(len(levels))]).first()
+    jobs = []
+    for j, c in enumerate(levels):
+        if tops[j] is None:
+            raise ValueError(f"level {c!r} has no rows to learn from")
+        n_bits = max(1, int(tops[j]).bit_length())
+        names = [f"__bit{i}" for i in range(n_bits)]
+        ready = targets.filter(F.col(f"__t{j}").isNotNull()).select(features, *[
+            F.getbit(f"__t{j}", F.lit(n_bits - 1 - i)).cast("double").alias(name) for i, name in enumerate(names)])
+        jobs += [(c, ready, names, i) for i in range(n_bits)]
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        fitted = list(pool.map(lambda job: _fit_bit(job[1], features, job[2], job[3], epochs), jobs))
+    return {c: LevelModel(int(tops[j]), tuple(m for m, job in zip(fitted, jobs) if job[0] == c))
+            for j, c in enumerate(levels)}
+
+
+def predict_levels(df: DataFrame, models: dict[str, LevelModel]) -> DataFrame:
+    """Add ``pred_<level>_idx`` per level. Each level is written, so that no plan holds all the bits of all levels."""
     for c, model in models.items():
-        df = model.transform(df).withColumn(f"pred_{c}_idx", F.col("__prediction").cast("int")).drop(
-            "__prediction", "__probability", "__raw")
+        df = settle(model.predict(df, f"pred_{c}_idx"), "predicted").frame
     return df

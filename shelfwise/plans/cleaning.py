@@ -11,7 +11,7 @@ from shelfwise.operators.brands import complete_brand, standardise_by_frequency,
 from shelfwise.operators.clean import clean_frame, null_brands
 from shelfwise.operators.hierarchy import hierarchy_warnings
 from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning
-from shelfwise.operators.materialise import settle
+from shelfwise.operators.materialise import run_folder, settle
 from shelfwise.operators.validate import (
     clean_rows, excluded_report, excluded_rows, excluded_schema, flag_errors, without_excluded,
 )
@@ -35,18 +35,19 @@ def clean_and_validate(raw: DataFrame, dataset: Dataset, rules: Profile | None =
                        tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
     """All rows, cleaned and standardised, with their reasons; every member of a duplicate group is flagged."""
     rules = rules or profile(dataset.dataset_type, ALL_MEMBERS)
-    return flag_errors(standardised(raw, dataset, rules, tuning), dataset, rules.rules, raw.columns, tuning)
+    # Row hashes, suspect rows, keys and the result all read the standardised rows.
+    rows = settle(standardised(raw, dataset, rules, tuning), "standardised").frame
+    return flag_errors(rows, dataset, rules.rules, raw.columns, tuning)
 
 
 def run_clean_and_validate(spark: SparkSession, dataset: Dataset, rules: Profile | None = None,
                            tuning: JoinTuning = DEFAULT_TUNING) -> tuple[int, int]:
     """Raw table to clean and excluded tables; returns the row counts of both."""
     raw = read_table(spark, dataset.table("raw"))
-    # Evaluated once per output: the duplicate lists are written already, and reading the cleaned rows twice costs
-    # less than writing the flagged ones in between.
-    flagged = clean_and_validate(raw, dataset, rules, tuning)
-    write_table(clean_rows(flagged), dataset.table("clean"), raw.schema)
-    write_table(excluded_rows(flagged), dataset.table("excluded"), excluded_schema(raw.schema))
+    with run_folder(spark):
+        flagged = settle(clean_and_validate(raw, dataset, rules, tuning), "flagged").frame
+        write_table(clean_rows(flagged), dataset.table("clean"), raw.schema)
+        write_table(excluded_rows(flagged), dataset.table("excluded"), excluded_schema(raw.schema))
     return (read_table(spark, dataset.table("clean")).count(), read_table(spark, dataset.table("excluded")).count())
 
 
@@ -57,7 +58,8 @@ def clean_and_unify(raw: DataFrame, dataset: Dataset, reference: DataFrame, refe
     brands = list(dataset.brand_columns)
     completed = complete_brand(null_brands(clean_frame(raw), brands), reference, reference_order,
                                barcode=dataset.barcode_columns[0], columns=brands, tuning=tuning)
-    unified, used = unify_brands(completed, brands, mapping, tuning=tuning)
+    # Read for the counts of brands and again for their replacement.
+    unified, used = unify_brands(settle(completed, "completed").frame, brands, mapping, tuning=tuning)
     return unified.select(*raw.columns), used
 
 
@@ -72,12 +74,13 @@ def run_clean_and_unify(spark: SparkSession, dataset: Dataset, reference: DataFr
     rules = rules or profile(dataset.dataset_type, SURPLUS)
     raw = read_table(spark, dataset.table("raw"))
     saved = read_table(spark, mapping_table) if reuse_mapping else None
-    rows, used = clean_and_unify(raw, dataset, reference, reference_order, saved, tuning)
-    write_table(rows, dataset.table("clean"), raw.schema)
-    if not reuse_mapping:
-        write_table(used, mapping_table, "brand string, standard_brand string")
-    clean = read_table(spark, dataset.table("clean"))
-    write_table(excluded_report(clean, dataset, rules, tuning=tuning), dataset.table("excluded"))
-    if drop_excluded:
-        write_table(without_excluded(clean, read_table(spark, dataset.table("excluded"))), dataset.table("clean"))
+    with run_folder(spark):
+        rows, used = clean_and_unify(raw, dataset, reference, reference_order, saved, tuning)
+        write_table(rows, dataset.table("clean"), raw.schema)
+        if not reuse_mapping:
+            write_table(used, mapping_table, "brand string, standard_brand string")
+        clean = read_table(spark, dataset.table("clean"))
+        write_table(excluded_report(clean, dataset, rules, tuning=tuning), dataset.table("excluded"))
+        if drop_excluded:
+            write_table(without_excluded(clean, read_table(spark, dataset.table("excluded"))), dataset.table("clean"))
     return hierarchy_warnings(read_table(spark, dataset.table("clean")))

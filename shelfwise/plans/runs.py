@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning
-from shelfwise.operators.materialise import settle
+from shelfwise.operators.materialise import run_folder, settle
 from shelfwise.operators.triggers import (
     PARAMETER_LOG, TRIGGER_LOG, check_parameters, fan_out, new_runs, parameter_log, trigger_log,
 )
@@ -40,7 +40,8 @@ def run_triggers(runs: DataFrame, parameter_table: str, trigger_table: str, trig
     create_if_absent(spark, parameter_table, PARAMETER_LOG)
     create_if_absent(spark, trigger_table, TRIGGER_LOG)
     seen = read_table(spark, parameter_table).select("id")
-    lines, requests = run_log_lines(runs, seen, triggers, stamp, tuning)
-    # Requests first: a crash in between repeats requests whose job id is the same, and loses none.
-    append_rows(requests, trigger_table)
-    append_rows(lines, parameter_table)
+    with run_folder(spark):
+        lines, requests = run_log_lines(runs, seen, triggers, stamp, tuning)
+        # Requests first: a crash in between repeats requests whose job id is the same, and loses none.
+        append_rows(requests, trigger_table)
+        append_rows(lines, parameter_table)

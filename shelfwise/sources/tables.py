@@ -94,12 +94,17 @@ def _replace_catalogue_table(df: DataFrame, name: str) -> None:
     if not spark.catalog.tableExists(name):
         df.write.format("parquet").saveAsTable(name)
         return
-    staging = f"{name}__new_{uuid.uuid4().hex}"
+    mark = uuid.uuid4().hex
+    staging, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
     df.write.format("parquet").saveAsTable(staging)
+    # The rows are written once; the two tables then change names.
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     try:
-        spark.table(staging).write.format("parquet").mode("overwrite").saveAsTable(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
 
 
 def create_if_absent(spark: SparkSession, name: str, schema: str) -> bool:

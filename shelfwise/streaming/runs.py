@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning
+from shelfwise.operators.materialise import run_folder
 from shelfwise.plans.runs import Triggers, run_log_lines
 
 
@@ -28,9 +29,10 @@ def watch_runs(runs: DataFrame, parameter_log: str, trigger_log: str, checkpoint
         if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
             logged = spark.read.schema("id string, batch_id long").parquet(parameter_log)
             seen = logged.filter(F.col("batch_id") < batch_id).select("id")
-        lines, requests = run_log_lines(batch, seen, triggers, stamp, tuning)
-        requests.write.mode("overwrite").parquet(f"{trigger_log}/batch_id={batch_id}")
-        lines.write.mode("overwrite").parquet(f"{parameter_log}/batch_id={batch_id}")
+        with run_folder(spark):
+            lines, requests = run_log_lines(batch, seen, triggers, stamp, tuning)
+            requests.write.mode("overwrite").parquet(f"{trigger_log}/batch_id={batch_id}")
+            lines.write.mode("overwrite").parquet(f"{parameter_log}/batch_id={batch_id}")
 
     writer = runs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

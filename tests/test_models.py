@@ -1,13 +1,13 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from shelfwise.operators.features import FeatureSpec, add_features, fit_features
+from shelfwise.operators.features import FeatureSpec, FittedFeatures, add_features, fit_features
 from shelfwise.operators.model import score_errors, train_error_model, train_level_models
-from shelfwise.plans.suspects import SuspectSettings, run_suspects
+from shelfwise.plans.suspects import SuspectSettings, inference_metrics, run_suspects, write_suspects
 
 LEVELS = ("l1", "l2")
 SETTINGS = dict(levels=LEVELS, text_width=64, epochs=30)
@@ -47,6 +47,12 @@ def test_corrector_plan(spark, items, tmp_path):
     assert predicted.count() == items.count()
     assert predicted.filter("is_error = 1 and (pred_l1 <> 'FOOD' or pred_l2 <> 'DAIRY')").count() == 0
     assert predicted.filter("is_error = 0 and pred_l1 <> l1").count() == 0
+    values = {r["metric"]: r["value"] for r in inference_metrics(predicted, settings).collect()}
+    assert values["accuracy_l1"] == values["accuracy_l2"] == 1.0 and values["tp"] + values["fn"] == 12
+    write_suspects(predicted, str(tmp_path / "sink"), settings, str(tmp_path / "csv"))
+    sink = spark.read.parquet(str(tmp_path / "sink"))
+    assert dict(sink.dtypes)["pred_is_error"] == "boolean" and dict(sink.dtypes)["row_id"] == "string"
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 120
 
 
 def test_perceptron_trains_and_resumes(spark, items):
@@ -65,16 +71,19 @@ def test_features_are_fitted_on_the_training_rows(spark, items, tmp_path):
     rows = items.withColumns({"description": F.col("item_desc"), "hierarchy_path": F.col("l1"), "v": F.col("row_id")})
     spec = FeatureSpec(text_width=16, value_columns=("v",), label_columns=("is_error",))
     fitted = fit_features(rows.filter("row_id < 60"), spec)
-    fitted.write().overwrite().save(str(tmp_path / "features"))
+    fitted.save(str(tmp_path / "features"))
     unseen = rows.withColumn("color_desc", F.lit("PURPLE"))
-    ready = add_features(unseen, PipelineModel.load(str(tmp_path / "features"))).orderBy("row_id")
+    ready = add_features(unseen, FittedFeatures.load(spark, str(tmp_path / "features"))).orderBy("row_id")
     vector = ready.first()["features"]
     # 16 + 16 words, 1 score, RED and nan, M, 1 label; an unseen colour has no place of its own.
     assert len(vector) == 16 + 16 + 1 + 2 + 1 + 1
     assert list(vector.toArray()[33:35]) == [0.0, 0.0]
     assert vector.toArray()[32] == pytest.approx((0 - 29.5) / 17.318102, abs=1e-5)
-    hashed = fit_features(rows, FeatureSpec(text_width=16, max_categories=1))
-    assert len(add_features(rows, hashed).first()["features"]) > 1 << 18
+    # An embedding of one's own, and a value column without values.
+    own = FeatureSpec(text_columns=("description",), embedding=lambda c, w: [SQLTransformer(
+        statement=f"SELECT *, char_length({c}) AS {c}_vec FROM __THIS__")], value_columns=("none",))
+    given = rows.withColumn("none", F.lit(None).cast("double"))
+    assert add_features(given, fit_features(given, own)).first()["features"][0] in (12.0, 17.0)
 
 
 def test_errors(spark, items, tmp_path):
@@ -84,6 +93,23 @@ def test_errors(spark, items, tmp_path):
         run_suspects(spark, items, None, "guess", str(tmp_path))
     with pytest.raises(ValueError):
         train_error_model(items, kind="oracle")
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="correct_l1"):
         train_level_models(items.withColumns({"l1_idx": F.lit(9_999), "features": array_to_vector(F.array(F.lit(1.0)))}),
                            ["l1"])
+    with pytest.raises(ValueError, match="correct_l2"):
+        run_suspects(spark, items.drop("correct_l2"), None, "train", str(tmp_path),
+                     SuspectSettings(**SETTINGS, correct_levels=True))
+    with pytest.raises(ValueError, match="resume"):
+        run_suspects(spark, items, None, "train", str(tmp_path), SuspectSettings(**SETTINGS), resume=True)
+
+
+def test_many_labels(spark):
+    """More labels than any list of coefficients should hold: the number is learnt bit by bit."""
+    rows = spark.range(3000).select(
+        "id", F.lit(0).alias("is_error"), (F.col("id") * 7 % 30_000).cast("int").alias("l1_idx"),
+        F.lit(0).alias("correct_l1_idx"))
+    bits = F.array(*[F.getbit(F.col("l1_idx").cast("long"), F.lit(b)).cast("double") for b in range(15)])
+    ready = rows.withColumn("features", array_to_vector(bits))
+    model = train_level_models(ready, ["l1"], epochs=20)["l1"]
+    assert len(model.bits) == 15
+    assert model.predict(ready, "found").filter("found <> l1_idx").count() == 0

@@ -189,7 +189,15 @@ def _replaced(mapping):
 _SAVED = (", saved as (select brand, max(standard_brand) as standard_brand from ("
           f"{SAVED_MAPPING.replace('{region}', 'region')}) group by 1)")
 
+# All customer names have 18 characters, so two are similar when both can lose two characters and agree.
+_CUSTOMERS = ("with n as (select upper(c_name) as brand from customer), r as (select distinct brand, substr(brand, 1, "
+              "i - 1) || substr(brand, i + 1, j - i - 1) || substr(brand, j + 1) as rest from n, (select unnest(range("
+              "1, 18)) as i), (select unnest(range(2, 19)) as j) where j > i), b as (select rest, min(brand) as best "
+              "from r group by 1) select brand, min(best) as standard_brand from r join b using (rest) group by 1 "
+              "having min(best) < brand")
+
 ORACLES = {
+    "customer_name_mapping": _CUSTOMERS,
     "freq_standardise": f"{STANDARDISED_SQL} select * from std",
     "spelling_mapping": f"{branded_sql()}{_SPELLINGS} select * from mapping",
     "root_standardise": f"{_ROOT_MAPPING} select p.* replace (coalesce(m.standard, p.local_supplier_desc) as "

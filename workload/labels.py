@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from shelfwise.constants import GLOBAL_LEVELS
@@ -11,14 +11,14 @@ from shelfwise.operators import labels as L
 from shelfwise.operators import metrics as M
 from shelfwise.operators import model as N
 from shelfwise.operators.materialise import fresh_path, settle
-from shelfwise.plans.suspects import SuspectSettings, run_suspects
-from shelfwise.sources.tables import tag_split
+from shelfwise.plans.suspects import SuspectSettings, inference_metrics, run_suspects, write_suspects
+from shelfwise.sources.tables import read_csv, tag_split
 from workload.base import branded, branded_sql, table
 
 # Rows marked as errors get a corrected first level; the other levels stay.
-FIXED = """select *, case when is_error = 1 then 'NO FOOD' end as correct_hierarchy_level1_desc,
-    case when is_error = 1 then global_hierarchy_level2_desc end as correct_global_hierarchy_level2_desc from {rows}"""
-TOP_LEVELS = list(GLOBAL_LEVELS[:2])
+LEVELS = list(GLOBAL_LEVELS)
+FIXED = ("select *, case when is_error = 1 then 'NO FOOD' end as correct_hierarchy_level1_desc, "
+         + ", ".join(f"case when is_error = 1 then {c} end as correct_{c}" for c in LEVELS[1:]) + " from {rows}")
 
 
 def _items(spark, sf):
@@ -38,22 +38,22 @@ def _encoded(spark, sf):
 
 def _fixed(spark, sf):
     rows = spark.sql(FIXED, rows=_items(spark, sf))
-    learned = settle(L.build_label_map(rows, "row_id", TOP_LEVELS), "labels").frame
-    return L.encode_labels(L.encode_labels(rows, learned, TOP_LEVELS), learned, TOP_LEVELS, prefix="correct_")
+    learned = settle(L.build_label_map(rows, "row_id", LEVELS), "labels").frame
+    return L.encode_labels(L.encode_labels(rows, learned, LEVELS), learned, LEVELS, prefix="correct_")
 
 
 def _targets(spark, sf):
     wrong = F.col("is_error") == 1
-    return _fixed(spark, sf).select("row_id", *[L.level_target(c, wrong).alias(f"target_{c}") for c in TOP_LEVELS])
+    return _fixed(spark, sf).select("row_id", *[L.level_target(c, wrong).alias(f"target_{c}") for c in LEVELS])
 
 
 def _decoded(spark, sf):
     rows = _items(spark, sf)
-    learned = settle(L.build_label_map(rows, "row_id", TOP_LEVELS), "labels").frame
-    coded = L.encode_labels(rows, learned, TOP_LEVELS)
+    learned = settle(L.build_label_map(rows, "row_id", LEVELS), "labels").frame
+    coded = L.encode_labels(rows, learned, LEVELS)
     # A stand-in prediction: the number of the neighbouring label, 0 being "unknown".
-    predicted = coded.select("row_id", *[(F.col(f"{c}_idx") - 1).alias(f"pred_{c}_idx") for c in TOP_LEVELS])
-    return L.decode_labels(predicted, learned, TOP_LEVELS)
+    predicted = coded.select("row_id", *[(F.col(f"{c}_idx") - 1).alias(f"pred_{c}_idx") for c in LEVELS])
+    return L.decode_labels(predicted, learned, LEVELS)
 
 
 def _scored_documents(spark, sf):
@@ -87,16 +87,79 @@ def _embedding_scores(spark, sf):
     rows = table(spark, sf, "embeddings").select(
         "vec_id", (F.col("label") == 3).cast("int").alias("is_error"), array_to_vector("embedding").alias("features"))
     rows = settle(rows, "vectors").frame
-    return N.score_errors(rows, N.train_error_model(rows, epochs=50)).drop("features")
+    scored = N.score_errors(rows, N.train_error_model(rows))
+    return scored.select("vec_id", "is_error", *_sound())
+
+
+def _sound():
+    """What holds for any trained model: the prediction follows the probability, which lies between 0 and 1."""
+    p = F.col("pred_probs")
+    return [((F.col("pred_is_error") == 1) == (p > 0.5)).alias("follows"), p.between(0, 1).alias("in_range")]
+
+
+def _trained(spark, sf, settings):
+    rows = settle(spark.sql(FIXED, rows=_items(spark, sf)), "items").frame
+    folder = fresh_path(spark, "model")
+    run_suspects(spark, rows, None, "train", folder, settings)
+    return rows, folder, run_suspects(spark, None, rows, "inference", folder, settings)
+
+
+def _suspect_items(spark, sf):
+    """All six levels, default width and epochs. Suspects are the contradicted rows, or the ten highest scores."""
+    settings = SuspectSettings()
+    rows, _, found = _trained(spark, sf, settings)
+    found = settle(found, "found").frame
+    known = found.join(rows.select("row_id"), "row_id", "left_semi").count() == found.count()
+    contradicted = found.filter("is_error <> pred_is_error").count()
+    return found.groupBy().agg(
+        F.lit(known).alias("known_ids"), F.lit(contradicted in (0, found.count())).alias("all_or_none"),
+        (F.lit(contradicted > 0) | (F.count(F.lit(1)) == 10)).alias("listed"),
+        *[F.every(c).alias(n) for c, n in zip(_sound(), ("follows", "in_range"))])
+
+
+def _corrected_items(spark, sf):
+    """All six levels, default width and epochs; predicted labels are labels of the map or unknown."""
+    _, folder, found = _trained(spark, sf, SuspectSettings(correct_levels=True))
+    labels = spark.read.parquet(f"{folder}/label_map")
+    found = settle(found, "found").frame
+    stacked = found.select("row_id", F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"pred_{c}").alias("value")) for c in LEVELS])).alias("p")).select(
+        "row_id", "p.*")
+    strange = stacked.join(labels, ["column_name", "value"], "left_anti").filter("value is not null")
+    odd = strange.select("row_id").distinct().withColumn("odd", F.lit(True))
+    return found.join(odd, "row_id", "left").select(
+        "row_id", "is_error", *_sound(), F.col("odd").isNull().alias("known_labels"))
+
+
+def _inference_metrics(spark, sf):
+    scored = _scored_documents(spark, sf).withColumn("level", F.col("lang")).withColumn("pred_level", F.when(
+        F.col("doc_id") % 3 != 0, F.col("lang")))
+    return _rounded(inference_metrics(scored, SuspectSettings(levels=["level"])), "value")
+
+
+def _suspects_sink(spark, sf):
+    sink, lines = fresh_path(spark, "sink"), fresh_path(spark, "predictions")
+    settings = SuspectSettings(row_id="doc_id")
+    write_suspects(M.mismatches(_scored_documents(spark, sf), "is_error", "pred_is_error"), sink, settings, lines)
+    written = spark.read.parquet(sink).select("doc_id", "lang", "is_error", "pred_is_error")
+    listed = read_csv(spark, lines, "index long, doc_id string, lang string, is_error boolean, pred_is_error boolean, "
+                                    "pred_probs double")
+    return written.join(listed.select("doc_id", F.col("index").alias("line")), "doc_id")
+
+
+def _default_split(spark, sf):
+    """Only a test frame is given, so it is the training frame too."""
+    train, test = tag_split(None, table(spark, sf, "documents").select("doc_id", "source"))
+    return train.unionByName(test)
 
 
-def _train_and_predict(settings):
-    def query(spark, sf):
-        rows = settle(spark.sql(FIXED, rows=_items(spark, sf)), "items").frame
-        folder = fresh_path(spark, "model")
-        run_suspects(spark, rows, None, "train", folder, settings)
-        return run_suspects(spark, None, rows, "inference", folder, settings)
-    return query
+def _feature_vector(spark, sf):
+    """One place per category and the label number, from the fitted plan."""
+    rows = settle(_items(spark, sf), "items").frame
+    spec = X.FeatureSpec(text_columns=(), label_columns=("is_error",))
+    ready = X.add_features(rows, X.fit_features(rows, spec))
+    return ready.select("row_id", F.array_join(F.transform(
+        vector_to_array("features"), lambda v: v.cast("int").cast("string")), "").alias("features"))
 
 
 def _standard_scores(spark, sf):
@@ -113,7 +176,7 @@ QUERIES = {
     "label_map": _label_map,
     "label_encode": _encoded,
     "label_encode_corrected": lambda s, d: _fixed(s, d).select(
-        "row_id", *[f"correct_{c}_idx" for c in TOP_LEVELS]),
+        "row_id", *[f"correct_{c}_idx" for c in LEVELS]),
     "level_targets": _targets,
     "label_decode": _decoded,
     "category_index": lambda s, d: L.category_index(_items(s, d), ["color_desc", "size_desc"]),
@@ -130,9 +193,12 @@ QUERIES = {
         "pred_probs", ["doc_id"]),
     "suspect_types": _suspect_types,
     "embedding_error_scores": _embedding_scores,
-    "suspect_items": _train_and_predict(SuspectSettings(levels=TOP_LEVELS, text_width=1 << 10, epochs=20)),
-    "corrected_items": _train_and_predict(SuspectSettings(
-        levels=TOP_LEVELS, text_width=1 << 10, epochs=20, correct_levels=True)),
+    "suspect_items": _suspect_items,
+    "corrected_items": _corrected_items,
+    "inference_metrics": _inference_metrics,
+    "suspects_sink": _suspects_sink,
+    "default_split": _default_split,
+    "feature_vector": _feature_vector,
 }
 
 # ---- oracles ----------------------------------------------------------------------------------------------------
@@ -151,9 +217,9 @@ def _encode_sql(source, column, out, base=None):
 
 
 _FIXED_SQL = (f"{branded_sql(True)}, fx as ({FIXED.replace('{rows}', 'nb')}), "
-              f"label_map as ({_map_sql('fx', TOP_LEVELS)}), coded as (select row_id, is_error, "
-              + ", ".join(_encode_sql("fx", c, f"{c}_idx") for c in TOP_LEVELS) + ", "
-              + ", ".join(_encode_sql("fx", f"correct_{c}", f"correct_{c}_idx", c) for c in TOP_LEVELS) + " from fx)")
+              f"label_map as ({_map_sql('fx', LEVELS)}), coded as (select row_id, is_error, "
+              + ", ".join(_encode_sql("fx", c, f"{c}_idx") for c in LEVELS) + ", "
+              + ", ".join(_encode_sql("fx", f"correct_{c}", f"correct_{c}_idx", c) for c in LEVELS) + " from fx)")
 _DOCS = ("(select doc_id, lang, quality as is_error, toxic as pred_is_error, n_chars % 997 / 1000 as pred_probs "
          "from labels join documents using (doc_id))")
 _RATES = ("(select count(*) filter (quality = 0 and toxic = 0) as tn, count(*) filter (quality = 0 and toxic = 1) as fp, "
@@ -170,19 +236,41 @@ def _accuracy_sql(name, a, b):
             "1.0::double else 0.0 end), 9) as accuracy from nb where is_error = 0")
 
 
+_BIN = ", ".join(f"('{m}', {v})" for m, v in (
+    ("tn", "tn"), ("fp", "fp"), ("fn", "fn"), ("tp", "tp"), ("accuracy", _share("tn + tp", "tn + fp + fn + tp")),
+    ("precision", _share("tp", "tp + fp")), ("recall", _share("tp", "tp + fn")),
+    ("f1", _share("2 * tp", "2 * tp + fp + fn"))))
+
 ORACLES = {
+    "embedding_error_scores": "select vec_id, (label = 3)::int as is_error, true as follows, true as in_range "
+                              "from embeddings",
+    "suspect_items": "select true as known_ids, true as all_or_none, true as listed, true as follows, true as in_range",
+    "corrected_items": f"{branded_sql(True)} select row_id, is_error, true as follows, true as in_range, "
+                       "true as known_labels from nb",
+    "inference_metrics": f"with r as (select * from {_RATES}) select m.metric, m.value::double as value from r, "
+                         f"lateral (values {_BIN}) m(metric, value) union all select 'accuracy_level', "
+                         "round(avg((doc_id % 3 <> 0)::int), 9) from labels where quality = 0",
+    "suspects_sink": "select doc_id::varchar as doc_id, lang, is_error::boolean as is_error, pred_is_error::boolean as "
+                     "pred_is_error, row_number() over (order by doc_id::varchar) - 1 as line "
+                     f"from {_DOCS} where is_error <> pred_is_error",
+    "default_split": "select doc_id, source, unnest(['train', 'test']) as split from documents",
+    "feature_vector": f"{branded_sql(True)}, co as (select list_sort(list(distinct coalesce(color_desc, 'nan'))) as v "
+                      "from nb), si as (select list_sort(list(distinct coalesce(size_desc, 'nan'))) as v from nb) "
+                      "select row_id, array_to_string(list_transform(co.v, lambda x: (x = coalesce(color_desc, 'nan'))"
+                      "::int), '') || array_to_string(list_transform(si.v, lambda x: (x = coalesce(size_desc, 'nan'))"
+                      "::int), '') || is_error as features from nb, co, si",
     "label_map": f"{branded_sql(True)} {_map_sql('nb', GLOBAL_LEVELS)}",
     "label_encode": f"{branded_sql(True)}, seen as (select * from nb where hierarchy_level1_desc = 'FOOD'), "
                     f"label_map as ({_map_sql('seen', GLOBAL_LEVELS)}) select row_id, "
                     + ", ".join(_encode_sql("nb", c, f"{c}_idx") for c in GLOBAL_LEVELS) + " from nb",
     "label_encode_corrected": f"{_FIXED_SQL} select row_id, "
-                              + ", ".join(f"correct_{c}_idx" for c in TOP_LEVELS) + " from coded",
+                              + ", ".join(f"correct_{c}_idx" for c in LEVELS) + " from coded",
     "level_targets": f"{_FIXED_SQL} select row_id, " + ", ".join(
-        f"case when is_error = 1 then correct_{c}_idx else {c}_idx end as target_{c}" for c in TOP_LEVELS)
+        f"case when is_error = 1 then correct_{c}_idx else {c}_idx end as target_{c}" for c in LEVELS)
         + " from coded",
     "label_decode": f"{_FIXED_SQL} select row_id, " + ", ".join(
         f"(select m.value from label_map m where m.column_name = '{c}' and m.idx = coded.{c}_idx - 1) as pred_{c}"
-        for c in TOP_LEVELS) + " from coded",
+        for c in LEVELS) + " from coded",
     "category_index": f"{branded_sql(True)} select column_name, value, row_number() over (partition by column_name "
                       "order by value) - 1 as idx from (select 'color_desc' as column_name, coalesce(color_desc, 'nan')"
                       " as value from nb union select 'size_desc', coalesce(size_desc, 'nan') from nb)",

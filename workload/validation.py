@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from shelfwise.config import ALL_MEMBERS, SURPLUS, profile
 from shelfwise.constants import GLOBAL_LEVELS, LOCAL_LEVELS
 from shelfwise.operators import hierarchy as H
 from shelfwise.operators import validate as V
-from shelfwise.plans.cleaning import clean_and_validate
+from shelfwise.operators.materialise import fresh_path
+from shelfwise.plans.cleaning import clean_and_validate, run_clean_and_validate
 from workload.base import (
     DATASET, PRODUCT_COLUMNS, clean_table, cleaned, cleaned_sql, columns_sql, products, table,
 )
@@ -45,6 +48,14 @@ def _flagged(spark, sf):
     return clean_and_validate(products(spark, sf), DATASET, ALL_PROFILE)
 
 
+def _excluded_table(spark, sf):
+    """The whole plan from table to tables; the excluded table has the raw columns and the reason."""
+    names = {name: fresh_path(spark, name) for name in ("raw", "clean", "excluded")}
+    products(spark, sf).write.parquet(names["raw"])
+    run_clean_and_validate(spark, replace(DATASET, **names), ALL_PROFILE)
+    return spark.read.parquet(names["excluded"])
+
+
 def _report(rows):
     return V.excluded_report(rows, DATASET, SURPLUS_PROFILE)
 
@@ -83,6 +94,7 @@ QUERIES = {
     "barcode_length_sql": lambda s, d: V.barcode_length_rows(products(s, d), "barcode"),
     "date_format": lambda s, d: _joined(V.flag_dates(V.with_empty_reasons(cleaned(s, d)), ["non_active_date"])),
     "date_year_typed": lambda s, d: V.date_year_rows(s.sql(SHIFTED, orders=table(s, d, "orders"))),
+    "excluded_table": _excluded_table,
     "validate_joined": lambda s, d: V.excluded_rows(_flagged(s, d)),
     "clean_split": lambda s, d: V.clean_rows(_flagged(s, d)),
     "rule_hits": _hits,
@@ -169,6 +181,8 @@ ORACLES = {
                        "and 2100 and year(o_day) <> 9999",
     "validate_joined": f"{STANDARDISED_SQL} select * from (select *, {_FOUR} as error_reason from std) "
                        "where error_reason <> ''",
+    "excluded_table": f"{STANDARDISED_SQL} select * from (select *, {_FOUR} as error_reason from std) "
+                      "where error_reason <> ''",
     "clean_split": f"{STANDARDISED_SQL} select {_ALL} from (select *, {_FOUR} as error_reason from std) "
                    "where error_reason = ''",
     "rule_hits": f"{cleaned_sql()}{_UNION} select reason, count(*) as distinct_rows from (select distinct reason, "
