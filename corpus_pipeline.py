@@ -33,11 +33,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays, and n_chars counts the new text."""
-    cleaned = secret_scan.redact(secret_scan.scan(docs))
-    if "n_chars" in docs.columns:
-        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
-    return cleaned.select(*docs.columns)
+    # The other columns travel in one struct, so none of them can clash with those of the scan.
+    rest = F.struct(F.lit(1).alias("__one"), *[f"`{c}`" for c in docs.columns if c != "text"])
+    cleaned = secret_scan.redact(secret_scan.scan(docs.select("text", rest.alias("__rest"))))
+    found = {c: F.col("__rest")[c] for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in found:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found["n_chars"] = F.when(F.col("text").isNull(), found["n_chars"]).otherwise(length)
+    return cleaned.select(*[value.alias(c) for c, value in found.items()])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

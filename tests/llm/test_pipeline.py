@@ -95,3 +95,17 @@ def test_empty_and_odd_tables(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
         found = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
         assert bool(found) == bool(rows)
+
+
+def test_clashing_columns(spark):
+    """Extra columns with the names that the operators use come through every stage but the last unchanged."""
+    names = ["base", "spans", "failed", "n_words", "size", "hash", "v", "n", "sample", "th", "copies", "taken", "piece"]
+    text = " ".join(f"w{j}" for j in range(40)) + " token = abcdef0123456789abcdef01"
+    docs = spark.createDataFrame([(1, text, "en", "a", 9, *names), (2, text, "en", "b", 9, *names)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{n} string" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, TABLES)
+        rows = docs.collect()
+        assert rows and all([r[n] for n in names] == names for r in rows)
+    assert "[SECRET]" in rows[0]["text"] and corpus_pipeline.STAGES[-1][1](spark, docs, TABLES).count() == len(rows)
