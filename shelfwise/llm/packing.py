@@ -15,6 +15,7 @@ rows; the input may have further columns of any name. Bytes that are not UTF-8 a
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,17 +34,25 @@ SEQUENCE = 2048
 OPEN_BINS = 1024
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+# ASCII punctuation but for the apostrophe, which can begin a contraction.
+ENDINGS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # A packer closes its open sequences at the end, so it should fill many: about this many tokens each.
 PACKER_TOKENS = 4_000_000
 ID_BYTES = 4
+# Letters that no normalisation changes.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 SEQUENCE_STRIDE = 1 << 40
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
 class ChunkIds(dict):
-    """Ids of chunks as little-endian bytes; the first use of a chunk runs the tokenizer."""
+    """Ids of chunks as little-endian bytes; the first use of a chunk runs the tokenizer.
+
+    The tokenizer lower-cases and always parts letters and digits from punctuation, so case is dropped beforehand and
+    the punctuation at the end of a chunk is looked up by itself: ``word,`` and ``Word`` are known once ``word`` is.
+    """
 
     def __init__(self, path: str | None):
         super().__init__()
@@ -54,10 +63,24 @@ class ChunkIds(dict):
 
             path = public_tokenizers.path(TOKENIZER)
         self._tokenizer = Tokenizer.from_file(path)
+        self._merge = self._tokenizer.model.tokenize
+        # The printable character that stands for each byte in the vocabulary.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self._shown = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self._tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = array("I", ids).tobytes()
+        core = chunk.rstrip(ENDINGS)
+        text = chunk.decode("utf-8", "replace")
+        if LETTERS.fullmatch(text):
+            # One run of plain letters: it goes to the merges as it is.
+            spelt = chunk.decode("latin-1").translate(self._shown)
+            found = array("I", [token.id for token in self._merge(spelt)]).tobytes()
+        elif core and len(core) < len(chunk) and LETTERS.fullmatch(core.decode("utf-8", "replace")[-1]):
+            found = self[core] + self[chunk[len(core):]]
+        else:
+            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+            found = array("I", ids).tobytes()
         if len(chunk) <= 64:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -66,7 +89,10 @@ class ChunkIds(dict):
 
     def of(self, text: bytes | None) -> bytes:
         """The ids of a text and the end id."""
-        return b"".join(map(self.__getitem__, (text or b"").split())) + array("I", [END_ID]).tobytes()
+        text = text or b""
+        # The names of special tokens are told apart by case.
+        chunks = (text if b"<|" in text else text.lower()).split()
+        return b"".join(map(self.__getitem__, chunks)) + array("I", [END_ID]).tobytes()
 
 
 def _cut(path: str | None, size: int):
