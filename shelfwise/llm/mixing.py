@@ -29,7 +29,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = "mix-1:"
 # Documents of one source that are summed in one group, about.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 4_000
 
 
 def _sources(rows: DataFrame, weights: Sequence[int]) -> DataFrame:
