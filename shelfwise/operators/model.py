@@ -98,14 +98,15 @@ class LevelModel:
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame([(self.top, len(self.bits))], "top long, bits int").write.mode("overwrite").parquet(
             f"{path}/size")
-        for i, model in enumerate(self.bits):
-            model.write().overwrite().save(f"{path}/bit{i}")
+        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+            list(pool.map(lambda i: self.bits[i].write().overwrite().save(f"{path}/bit{i}"), range(len(self.bits))))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> LevelModel:
         size = spark.read.parquet(f"{path}/size").first()
-        return LevelModel(size["top"], tuple(LogisticRegressionModel.load(f"{path}/bit{i}")
-                                             for i in range(size["bits"])))
+        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+            return LevelModel(size["top"], tuple(pool.map(
+                lambda i: LogisticRegressionModel.load(f"{path}/bit{i}"), range(size["bits"]))))
 
 
 def _with_bits(df: DataFrame, features: str, earlier: Sequence[str]) -> DataFrame:
@@ -119,7 +120,7 @@ def _fit_bit(ready: DataFrame, features: str, names: Sequence[str], i: int, epoc
 
 
 def train_level_models(train: DataFrame, levels: Sequence[str], label: str = "is_error", features: str = "features",
-                       prefix: str = "correct_", epochs: int = 100) -> dict[str, LevelModel]:
+                       prefix: str = "correct_", epochs: int = 20) -> dict[str, LevelModel]:
     """One model per level on the shared features. A wrong row teaches its corrected level.
 
     The bits of all levels learn from the true earlier bits, so they are independent and fitted some at a time.

@@ -25,6 +25,7 @@ class SuspectSettings:
     row_id: str = "row_id"
     kind: str = "logistic"
     epochs: int = 100
+    level_epochs: int = 20  # of each bit of a level model; there are about six times the logarithm of the labels
     correct_levels: bool = False  # also learn and predict the right levels
     text_width: int = 1 << 12
 
@@ -65,7 +66,8 @@ def _train(train_rows: DataFrame, model_dir: str, settings: SuspectSettings, res
     fitted.save(f"{model_dir}/features")
     errors.write().overwrite().save(f"{model_dir}/errors")
     if settings.correct_levels:
-        for c, model in train_level_models(ready, settings.levels, settings.label, epochs=settings.epochs).items():
+        for c, model in train_level_models(ready, settings.levels, settings.label,
+                                           epochs=settings.level_epochs).items():
             model.save(spark, f"{model_dir}/levels/{c}")
 
 
