@@ -7,11 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.joins import JoinTuning
 from shelfwise.operators.materialise import settle
 
 # Words are runs of anything but these: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
+# Lookups that are joined to texts are broadcast only when they are this small, else the join is a shuffle.
+LOOKUP = JoinTuning(max_rows=400_000, max_bytes=48 * 1024 * 1024)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -29,10 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import ship
+from shelfwise.llm.common import LOOKUP
 from shelfwise.llm.components import components
 from shelfwise.llm.wordhash import Hasher, groups, lists, mixed
 from shelfwise.operators.joins import attach
-from shelfwise.operators.materialise import settle
+from shelfwise.operators.materialise import Settled, settle
 
 ship(__name__)
 
@@ -130,35 +131,41 @@ class _Join:
         return both.filter(common >= self.overlap(F.col("n1"), F.col("n2"))).select("a", "b")
 
 
-def _candidate_sets(docs: DataFrame, sketch: DataFrame, k: int, percent: int, share: int) -> tuple[DataFrame, DataFrame]:
+def _candidate_sets(docs: DataFrame, sketch: Settled, k: int, percent: int, share: int) -> tuple[DataFrame, DataFrame]:
     """(vertices, full token sets of those that can have links)."""
-    vertices = settle(
-        sketch.filter("n > 0").groupBy("s1", "s2", "n").agg(
+    sampled_vertices = settle(
+        sketch.frame.filter("n > 0").groupBy("s1", "s2", "n").agg(
             F.min("doc_id").alias("id"), F.min("th").alias("th"), F.any_value("sample").alias("sample"))
-        .withColumn("v", F.monotonically_increasing_id()), "vertices").frame
-    sampled = vertices.select("v", "n", F.explode("sample").alias("t"))
-    shared = sampled.groupBy("t").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter(
-        "low <> high").select("t")
+        .withColumn("v", F.monotonically_increasing_id()), "vertices")
+    sketch.delete()
+    # From here on the samples are only needed once more, so the wide tables go as soon as they are read.
+    vertices = settle(sampled_vertices.frame.drop("sample"), "vertices").frame
+    sampled = sampled_vertices.frame.select("v", F.explode("sample").alias("t"))
+    # A set has a token once and is one vertex, so two rows are two sets.
+    # Written, so that the join below reads both sides from shuffles of their own and a hot token can be split.
+    shared = settle(sampled.groupBy("t").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("t"),
+                    "shared").frame
     # The smallest linked partner has the shortest sample; so many tokens are shared with it at least.
     least = _ceil_div(F.col("n") * percent, 100)
     needed = F.floor((least - _ceil_div(least * percent, 100)) / share).cast("long") + 1
-    able = sampled.join(shared, "t", "left_semi").groupBy("v", "n").count().filter(F.col("count") >= needed).select("v")
-    able = settle(vertices.select("v", "th", "s1", "s2").join(able, "v", "left_semi"), "able")
+    hits = settle(sampled.join(shared, "t", "left_semi").groupBy("v").agg(F.count(F.lit(1)).alias("hits")), "hits")
+    sampled_vertices.delete()
+    able = settle(vertices.join(hits.frame, "v").filter(F.col("hits") >= needed).select("v", "th", "s1", "s2"), "able")
     keys = able.narrowed(able.frame.select("th", "v"))
     texts = docs.select("text").withColumn("th", F.xxhash64("text"))
     # A text hash may stand for several vertices only if hashes collide; the signatures below keep them apart.
-    hits = attach(texts, keys, {"th": "th"}, how="inner").groupBy("v").agg(F.any_value("text").alias("text"))
-    full = hits.select("v", F.col("text").cast("binary").alias("text")).mapInArrow(
+    found = attach(texts, keys, {"th": "th"}, how="inner", tuning=LOOKUP).groupBy("v").agg(F.any_value("text").alias("text"))
+    full = found.select("v", F.col("text").cast("binary").alias("text")).mapInArrow(
         _in_full(k), "v long, n long, s1 long, s2 long, tokens array<long>")
     return vertices, settle(full.join(able.frame.select("v", "s1", "s2"), ["v", "s1", "s2"], "left_semi"), "full").frame
 
 
 def _ordered_sets(full: DataFrame, percent: int) -> DataFrame:
     """v, n, tokens: the tokens that occur in several sets, the rarest first."""
-    flat = full.select("v", "n", F.explode("tokens").alias("t"))
-    counts = flat.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    kept = flat.join(counts, "t").groupBy("v", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s"))
-    able = kept.filter(F.size("s") >= _ceil_div(F.col("n") * percent, 100))
+    flat = full.select("v", F.explode("tokens").alias("t"))
+    counts = settle(flat.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "counts").frame
+    kept = flat.join(counts, "t").groupBy("v").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s"))
+    able = kept.join(full.select("v", "n"), "v").filter(F.size("s") >= _ceil_div(F.col("n") * percent, 100))
     return settle(able.select("v", "n", F.col("s.t").alias("tokens")), "sets").frame
 
 
@@ -218,25 +225,27 @@ def _links(join: _Join) -> DataFrame:
     return links.union(join.linked(late))
 
 
-def near_components(docs: DataFrame, k: int = 5, percent: int = 80, share: int = 2) -> DataFrame:
+def near_components(docs: DataFrame, k: int = 5, percent: int = 80, share: int = 1) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document.
 
     ``docs`` has doc_id (a whole number) and text. Two documents are linked when their sets of ``k``-word shingles,
-    with A to Z in lower case, have a Jaccard similarity of ``percent`` hundredths or more.
+    with A to Z in lower case, have a Jaccard similarity of ``percent`` hundredths or more. ``share`` sets the length
+    of the sample: 1 rules out most where many shingles are common by chance, 4 is shorter where few are.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("__text"),
                          F.xxhash64("text").alias("th"))
     sketch = settle(source.mapInArrow(
         _sketched(k, percent, share), "doc_id long, n long, s1 long, s2 long, th long, sample array<long>"),
-        "sketch").frame
+        "sketch")
+    rows = settle(sketch.frame.select("doc_id", "n", "s1", "s2"), "rows").frame
     vertices, full = _candidate_sets(docs, sketch, k, percent, share)
     labels = components(_links(_Join(_ordered_sets(full, percent), percent)))
     ids = vertices.select("v", "id", "s1", "s2", "n").join(labels, "v", "left").withColumn(
         "label", F.coalesce("label", "v"))
     smallest = ids.groupBy("label").agg(F.min("id").alias("component"))
     placed = settle(ids.join(smallest, "label").select("s1", "s2", "n", "component"), "placed")
-    rows = attach(sketch.select("doc_id", "n", "s1", "s2"), placed, {"s1": "s1", "s2": "s2", "n": "n"})
-    return rows.select("doc_id", F.col("n").alias("n_shingles"),
+    found = attach(rows, placed, {"s1": "s1", "s2": "s2", "n": "n"})
+    return found.select("doc_id", F.col("n").alias("n_shingles"),
                        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
