@@ -25,7 +25,7 @@ class SuspectSettings:
     row_id: str = "row_id"
     kind: str = "logistic"
     epochs: int = 100
-    level_epochs: int = 20  # of each bit of a level model; there are about six times the logarithm of the labels
+    level_epochs: int = 10  # of each bit of a level model; there are about six times the logarithm of the labels
     correct_levels: bool = False  # also learn and predict the right levels
     text_width: int = 1 << 12
 

@@ -10,7 +10,7 @@ from shelfwise.operators.model import score_errors, train_error_model, train_lev
 from shelfwise.plans.suspects import SuspectSettings, inference_metrics, run_suspects, write_suspects
 
 LEVELS = ("l1", "l2")
-SETTINGS = dict(levels=LEVELS, text_width=64, epochs=30)
+SETTINGS = dict(levels=LEVELS, text_width=64, epochs=30, level_epochs=20)
 
 
 @pytest.fixture(scope="module")
