@@ -30,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import ship
+from shelfwise.llm.common import LOOKUP
 from shelfwise.llm.wordhash import Hasher, Words, groups, mixed
-from shelfwise.operators.joins import JoinTuning, attach
+from shelfwise.operators.joins import attach
 from shelfwise.operators.materialise import settle
 
 ship(__name__)
@@ -40,8 +41,6 @@ LENGTH = 35
 GRAM = 8
 KEYS = ["th1", "th2"]
 KEY_TYPES = "th1 long, th2 long"
-# Lookups by text are broadcast only when they are this small.
-LOOKUP = JoinTuning(max_rows=400_000, max_bytes=48 * 1024 * 1024)
 
 
 def _smallest(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -157,12 +156,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = _keyed(docs)
     place = F.xxhash64(*KEYS, "pos")
     seeds = settle(texts.mapInArrow(_seeds(length), f"{KEY_TYPES}, pos int, a long, around long"), "seeds").frame
-    several = seeds.groupBy("a").agg(
+    # The lists of anchors and windows are written before they are joined back: then both sides of a join come from
+    # shuffles of their own, and the rows of a hot anchor can be split over tasks.
+    several = settle(seeds.groupBy("a").agg(
         F.min(place).alias("low"), F.max(place).alias("high"), F.min("around").alias("r1"),
-        F.max("around").alias("r2")).filter("low <> high").select("a", F.expr("r1 <> r2").alias("differ"))
+        F.max("around").alias("r2")).filter("low <> high").select("a", F.expr("r1 <> r2").alias("differ")),
+        "several").frame
     met = settle(seeds.join(several, "a"), "met").frame
     differing = met.filter("differ")
-    kinds = differing.groupBy("a", "around").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    kinds = settle(differing.groupBy("a", "around").agg(F.min(place).alias("low"), F.max(place).alias("high")),
+                   "kinds").frame
     judged = settle(
         differing.join(kinds, ["a", "around"]).select(
             *KEYS, "pos", F.expr("low <> high").alias("sure"), (place == F.col("low")).alias("first")), "judged").frame
@@ -175,8 +178,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     opened = attach(texts, edges, {k: k for k in KEYS}, how="inner", tuning=LOOKUP)
     windows = settle(opened.select(*KEYS, "text", "places").mapInArrow(
         _edges(length), f"{KEY_TYPES}, pos int, a long, w long"), "windows").frame
-    twice = windows.groupBy("a", "w").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter(
-        "low <> high").select("a", "w")
+    twice = settle(windows.groupBy("a", "w").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter(
+        "low <> high").select("a", "w"), "twice").frame
     outside = windows.join(twice, ["a", "w"], "left_semi").select(
         *KEYS, _coded(F.col("pos"), F.col("pos") + length).alias("code"))
 
