@@ -66,7 +66,7 @@ def test_hot_rows_are_spread(spark, skewed, lookup):
 
 
 def test_hot_key_list_is_bounded(spark, skewed):
-    assert hot_keys(skewed, ["key"], JoinTuning(hot_floor=20, rows_per_salt=30)).collect()[0]["__salts"] == 4
+    assert max(r["__salts"] for r in hot_keys(skewed, ["key"], JoinTuning(hot_floor=20, rows_per_salt=30)).collect()) == 4
     assert hot_keys(skewed, ["key"], JoinTuning(hot_floor=1)).count() == skewed.select("key").distinct().count()
     assert hot_keys(skewed, ["key"], JoinTuning(hot_floor=101)).count() == 0
 
