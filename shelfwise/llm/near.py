@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from shelfwise.llm import ship
 from shelfwise.llm.common import LOOKUP
@@ -225,6 +226,23 @@ def _links(join: _Join) -> DataFrame:
     return links.union(join.linked(late))
 
 
+def _sketch(docs: DataFrame, k: int, percent: int, share: int) -> Settled:
+    """doc_id, size and signatures of the set, text hash and sample of every row."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("__text"),
+                         F.xxhash64("text").alias("th"))
+    return settle(source.mapInArrow(
+        _sketched(k, percent, share), "doc_id long, n long, s1 long, s2 long, th long, sample array<long>"),
+        "sketch")
+
+
+def _labelled(docs: DataFrame, sketch: Settled, k: int, percent: int, share: int) -> DataFrame:
+    """v, id, s1, s2, n and label of every set with words; linked sets have one label. Deletes the sketch."""
+    vertices, full = _candidate_sets(docs, sketch, k, percent, share)
+    labels = components(_links(_Join(_ordered_sets(full, percent), percent)))
+    return vertices.select("v", "id", "s1", "s2", "n").join(labels, "v", "left").withColumn(
+        "label", F.coalesce("label", "v"))
+
+
 def near_components(docs: DataFrame, k: int = 5, percent: int = 80, share: int = 1) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document.
 
@@ -232,16 +250,9 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, share: int =
     with A to Z in lower case, have a Jaccard similarity of ``percent`` hundredths or more. ``share`` sets the length
     of the sample: 1 rules out most where many shingles are common by chance, 4 is shorter where few are.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("__text"),
-                         F.xxhash64("text").alias("th"))
-    sketch = settle(source.mapInArrow(
-        _sketched(k, percent, share), "doc_id long, n long, s1 long, s2 long, th long, sample array<long>"),
-        "sketch")
+    sketch = _sketch(docs, k, percent, share)
     rows = settle(sketch.frame.select("doc_id", "n", "s1", "s2"), "rows").frame
-    vertices, full = _candidate_sets(docs, sketch, k, percent, share)
-    labels = components(_links(_Join(_ordered_sets(full, percent), percent)))
-    ids = vertices.select("v", "id", "s1", "s2", "n").join(labels, "v", "left").withColumn(
-        "label", F.coalesce("label", "v"))
+    ids = _labelled(docs, sketch, k, percent, share)
     smallest = ids.groupBy("label").agg(F.min("id").alias("component"))
     placed = settle(ids.join(smallest, "label").select("s1", "s2", "n", "component"), "placed")
     found = attach(rows, placed, {"s1": "s1", "s2": "s2", "n": "n"})
@@ -250,10 +261,32 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, share: int =
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, share: int = 4) -> DataFrame:
-    """One document of each group of near-duplicates, with its own columns: the one whose id is the component's.
+    """One row of each group of near-duplicates, with its own columns: the one of the smallest id, nulls last.
 
-    Rows with that same id (repeated rows) stay, as do documents without words.
+    Of several texts with that id the one with the smallest hash stays, and of repeated rows (same id, same text) the
+    one whose columns have the smallest hash. All documents without words stay.
     """
-    found = near_components(docs, k, percent, share)
-    kept = found.filter("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return attach(docs, kept, {"doc_id": "__keep"}, how="left_semi")
+    sketch = _sketch(docs, k, percent, share)
+    rows = settle(sketch.frame.select("doc_id", "n", "s1", "s2", "th"), "rows").frame
+    placed = settle(_labelled(docs, sketch, k, percent, share).select("s1", "s2", "n", "label"), "placed")
+    found = attach(rows.filter("n > 0"), placed, {"s1": "s1", "s2": "s2", "n": "n"})
+    # An id and a text stand for a row; how often they are there is counted along.
+    counted = found.groupBy("label", "doc_id", "th").agg(F.count(F.lit(1)).alias("copies"))
+    first = counted.groupBy("label").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "th", "copies")).alias("first"))
+    wordless = rows.filter("n = 0").select("doc_id", "th", F.lit(1).cast("long").alias("copies")).distinct()
+    kept = settle(first.select("first.doc_id", "first.th", "first.copies").union(wordless), "kept").frame
+    marked = docs.withColumn("__th", F.xxhash64("text"))
+
+    def matching(choice: DataFrame) -> DataFrame:
+        keys = choice.select(F.col("doc_id").alias("__keep"), F.col("th").alias("__keep_th"))
+        return attach(marked, keys, {"doc_id": "__keep", "__th": "__keep_th"}, how="left_semi")
+
+    single = matching(kept.filter("copies = 1")).drop("__th")
+    several = kept.filter("copies > 1")
+    if several.isEmpty():
+        return single
+    plain = [f"`{f.name}`" for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]
+    chosen = matching(several).groupBy("doc_id", "__th").agg(F.min_by(
+        F.struct(*[f"`{c}`" for c in docs.columns]), F.xxhash64(*plain)).alias("__row"))
+    return single.union(chosen.select("__row.*"))

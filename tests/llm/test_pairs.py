@@ -82,6 +82,27 @@ def test_near_odd_ids(spark):
     assert near.near_components(docs.limit(0), 3, 90).count() == 0
 
 
+def test_keep_one_row(spark):
+    """One row of each group: repeated rows, near copies without an id, an id with two texts, rows without words."""
+    base = [f"w{i}" for i in range(60)]
+    near_copy, far = base[:-1] + ["other"], [f"x{i}" for i in range(60)]
+    a, b, c, d = " ".join(base), " ".join(near_copy), " ".join(far), " ".join(f"y{i}" for i in range(60))
+    rows = ([(3, a, "r")] * 3 + [(3, b, "s"), (9, a, "t"), (None, b, "u")]     # a family: one row of id 3
+            + [(None, c, "v")] * 4 + [(None, c + " end", "v")] * 2             # a family without ids
+            + [(3, d, "w"), (2, d + " end", "x")]                              # id 3 again, its group's id is 2
+            + [(4, None, "y"), (4, None, "y"), (None, "", "z"), (None, " ", "z")])
+    docs = spark.createDataFrame(rows, "doc_id int, text string, copies string").repartition(5)
+    kept = near.keep_one(docs)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    found = [tuple(r) for r in kept.collect()]
+    assert all(r in rows for r in found)
+    worded = [r for r in found if (r[1] or "").strip()]
+    assert sorted((str(r[0]), r[1][:2]) for r in worded) == [("2", "y0"), ("3", "w0"), ("None", "x0")]
+    assert sorted(map(str, set(found) - set(worded))) == sorted(map(str, set(rows[-4:])))
+    assert len(found) == 3 + 4
+    assert near.keep_one(docs.limit(0)).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(100, 180)] + [(500, i) for i in range(501, 560)] + [
