@@ -3,8 +3,9 @@
 A page is read into a tree of its elements. Elements that are never part of an article (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, comments of readers) are left out by their tag, role or class. Each
 paragraph then passes points for its length and its commas to its ancestors, fewer with each level; a container's
-points are discounted by its link density. The best container is kept, with those siblings that score well beside it;
-a container inside an ``article`` element stands for that element. Its blocks are the result, in page order.
+points are discounted by its link density. A best container inside an ``article`` element, or else inside ``main``,
+stands for that element; otherwise it is kept with what lies beside it and is not mostly links. Its blocks are the
+result, in page order.
 
 Pages are independent of each other: one pass without a shuffle, in Arrow batches.
 
@@ -53,7 +54,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SCOPE = frozenset("table td th caption button object html body article section div".split())
 
 LEVELS = 5
-SIBLING_SHARE = 0.2
+# From this share of its text inside links on, a part beside the best container is no part of the article.
+LINK_DENSE = 0.5
 
 
 class Element:
@@ -63,9 +65,11 @@ class Element:
         self.tag, self.parent, self.left_out, self.bonus = tag, parent, left_out, bonus
         self.points, self.chars, self.link_chars = 0.0, 0, 0
 
+    def density(self) -> float:
+        return self.link_chars / self.chars if self.chars else 0.0
+
     def score(self) -> float:
-        density = self.link_chars / self.chars if self.chars else 0.0
-        return (self.points + self.bonus) * (1.0 - density)
+        return (self.points + self.bonus) * (1.0 - self.density())
 
 
 def _class_words(attributes: str) -> tuple[set[str], bool]:
@@ -209,23 +213,25 @@ def main_text(page: str | None) -> str:
     if not scored:
         return ""
     best = max(scored, key=Element.score)
+    main: Element | None = None
     ancestor: Element | None = best
     while ancestor is not None:
         if ancestor.tag == "article":
             best = ancestor
+        elif ancestor.tag == "main":
+            main = ancestor
         ancestor = ancestor.parent
-    kept = {best}
-    if best.tag != "article":
-        floor = max(10.0, SIBLING_SHARE * best.score())
-        kept.update(e for e in scored if e.parent is best.parent and e.score() >= floor)
+    if best.tag != "article" and main is not None:
+        best = main
+    # Without such an element, what lies beside the best container belongs to it, long or short, unless it is links.
+    around = None if best.tag in ("article", "main") else best.parent
     out = []
     for element, text, links in blocks:
         holder = element
-        while holder is not None and holder not in kept:
+        while holder is not None and holder is not best and (around is None or holder.parent is not around):
             holder = holder.parent
-        sibling = (element.parent is best.parent and element.tag in HEADINGS | {"p"} and best.parent is not None
-                   and best.tag != "article" and links * 4 < len(text))
-        if holder is not None or sibling:
+        loose = element is around and links < LINK_DENSE * len(text)
+        if holder is best or loose or (holder is not None and holder.density() < LINK_DENSE):
             out.append(text)
     return " ".join(out)
 

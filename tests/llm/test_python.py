@@ -102,6 +102,17 @@ def test_html_cases(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_html_short_parts():
+    """Parts of unequal length without an article element all stay; lists of links beside them do not."""
+    long = "<p>" + "long, long, long, part " * 17 + "</p>"
+    parts = (f"<section>{long * 10}</section><section><p>Short part, one comma.</p></section><ul><li>item</ul>"
+             "<blockquote>quote</blockquote><table><tr><td>cell</table>")
+    wanted = " ".join(["long, long, long, part"] * 170 + ["Short part, one comma. item quote cell"])
+    assert html_text.main_text(f"<main>{parts}</main><div><p>Elsewhere</p></div>") == wanted
+    links = "<div><p><a href=x>some link</a> | <a href=y>another link</a></p></div>"
+    assert html_text.main_text(f"<body><div>loose {parts}{links}</div></body>") == "loose " + wanted
+
+
 def test_given_pages(spark):
     """The given pages have one article each; its blocks are cut out by hand here."""
     pages = {r["page_id"]: r["html"] for r in given(spark, "pages").collect()}
