@@ -1,7 +1,8 @@
 """Main text of HTML pages by tree scoring.
 
 A page is read into a tree of its elements. Elements that are never part of an article (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, comments of readers) are left out by their tag, role or class. Each
+sidebars, notices, adverts, forms, scripts, comments of readers) are left out by their tag, role or class; by class
+only where they do not hold the article itself, which is decided after the page is read. Each
 paragraph then passes points for its length and its commas to its ancestors, fewer with each level; a container's
 points are discounted by its link density. A best container inside an ``article`` element, or else inside ``main``,
 stands for that element; otherwise it is kept with what lies beside it and is not mostly links. Its blocks are the
@@ -59,11 +60,11 @@ LINK_DENSE = 0.5
 
 
 class Element:
-    __slots__ = ("tag", "parent", "left_out", "points", "chars", "link_chars", "bonus")
+    __slots__ = ("tag", "parent", "left_out", "points", "chars", "link_chars", "bonus", "doubtful")
 
     def __init__(self, tag: str, parent: Element | None, left_out: bool, bonus: float):
         self.tag, self.parent, self.left_out, self.bonus = tag, parent, left_out, bonus
-        self.points, self.chars, self.link_chars = 0.0, 0, 0
+        self.points, self.chars, self.link_chars, self.doubtful = 0.0, 0, 0, False
 
     def density(self) -> float:
         return self.link_chars / self.chars if self.chars else 0.0
@@ -91,8 +92,12 @@ def _class_words(attributes: str) -> tuple[set[str], bool]:
     return found, hidden
 
 
-def _tree(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
-    """All elements, and the blocks of text in page order: (element, text, characters inside links)."""
+def _tree(page: str, spared: set[int] | None = None) -> tuple[list[Element], list[tuple[Element, str, int]]]:
+    """All elements, and the blocks of text in page order: (element, text, characters inside links).
+
+    Elements with a class word to leave out are marked as doubtful; they are left out unless ``spared`` has their number
+    or is not given.
+    """
     root = Element("#root", None, False, 0.0)
     elements, blocks = [root], []
     stack = [root]
@@ -170,12 +175,15 @@ def _tree(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
             flush()
         parent = stack[-1]
         left_out = parent.left_out or tag in LEFT_OUT_TAGS
+        doubtful = False
         bonus = {"article": 25.0, "main": 15.0, "section": 2.0, "div": 2.0, "blockquote": 2.0}.get(tag, 0.0)
         if attributes.strip() and not left_out and tag not in ("html", "body"):
             found, hidden = _class_words(attributes)
-            left_out = hidden or bool(found & LEFT_OUT_WORDS) and tag not in ("article", "main")
+            doubtful = not hidden and bool(found & LEFT_OUT_WORDS) and tag not in ("article", "main")
+            left_out = hidden or doubtful and spared is not None and len(elements) not in spared
             bonus += 10.0 if found & GOOD_WORDS else 0.0
         element = Element(tag, parent, left_out, bonus)
+        element.doubtful = doubtful
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
@@ -189,10 +197,49 @@ def _tree(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
     return elements, blocks
 
 
+def _points(text: str) -> float:
+    return 1.0 + text.count(",") + min(len(text) / 100.0, 3.0)
+
+
+def _spared(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> set[int]:
+    """The numbers of doubtful elements that hold the article after all: two of these must be so.
+
+    It has an article or main element; it has the larger part of the paragraph points; no other article or main element
+    is elsewhere on the page outside doubtful elements. Articles inside an article (such as comments) do not count.
+    """
+    points: dict[Element, float] = {}
+    total = 0.0
+    for element, text, _ in blocks:
+        total += (worth := _points(text))
+        points[element] = points.get(element, 0.0) + worth
+    number = {e: i for i, e in enumerate(elements)}
+    marks = [0] * len(elements)
+    sums = [points.get(e, 0.0) for e in elements]
+    # Parents come before children, so what is known of them is passed down, and sums are passed up in reverse.
+    in_article, in_doubt, clear, above = ([False] * len(elements), [False] * len(elements), 0, [0] * len(elements))
+    for i, e in enumerate(elements[1:], 1):
+        up = number[e.parent]
+        landmark = not e.left_out and (e.tag == "main" or e.tag == "article" and not in_article[up])
+        marks[i] = int(landmark)
+        in_article[i] = in_article[up] or e.tag == "article"
+        in_doubt[i] = in_doubt[up] or e.doubtful
+        undisputed = landmark and not in_doubt[i]
+        clear += undisputed
+        above[i] = above[up] + undisputed
+    for i in range(len(elements) - 1, 0, -1):
+        up = number[elements[i].parent]
+        marks[up] += marks[i]
+        sums[up] += sums[i]
+    return {i for i, e in enumerate(elements) if e.doubtful
+            and (marks[i] > 0) + (2 * sums[i] > total) + (clear == above[i]) >= 2}
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    _, blocks = _tree(page)
+    elements, blocks = _tree(page)
+    if any(e.doubtful for e in elements):
+        _, blocks = _tree(page, _spared(elements, blocks))
     scored: dict[Element, None] = {}
     for element, text, links in blocks:
         holder: Element | None = element
@@ -200,7 +247,7 @@ def main_text(page: str | None) -> str:
             holder.chars += len(text)
             holder.link_chars += links
             holder = holder.parent
-        points = 1.0 + text.count(",") + min(len(text) / 100.0, 3.0)
+        points = _points(text)
         # A paragraph passes its points to what contains it; text straight in a container counts for that.
         holder = element.parent if element.tag in HEADINGS | {"p", "li", "pre", "td", "dd", "dt"} else element
         for level in range(LEVELS):

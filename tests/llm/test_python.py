@@ -113,6 +113,20 @@ def test_html_short_parts():
     assert html_text.main_text(f"<body><div>loose {parts}{links}</div></body>") == "loose " + wanted
 
 
+def test_html_layout_classes():
+    """A wrapper whose class has the word of a part to leave out keeps the article; such parts inside it go."""
+    body = "<p>" + "body, of text. " * 30 + "</p>"
+    inner = f"{body}<div class=sidebar><p>side, by, side</p></div><div class='comments'><p>first!</p></div>"
+    wanted = " ".join(["body, of text."] * 30)
+    for name in ("layout with-sidebar", "no-comments", "has-banner"):
+        for inside in (inner, f"<article>{inner}</article>", f"<main>{inner}</main>"):
+            assert html_text.main_text(f"<body><div id='content' class='{name}'>{inside}</div></body>") == wanted
+        assert html_text.main_text(f"<main><div class='{name}'>{inner}</div></main>") == wanted
+    # Comments that are articles themselves do not win against the article they follow, however long.
+    comments = "<div id=comments>" + f"<article><p>{'a, comment ' * 5}</p></article>" * 9 + "</div>"
+    assert html_text.main_text(f"<main><article>{body}</article>{comments}</main>") == wanted
+
+
 def test_given_pages(spark):
     """The given pages have one article each; its blocks are cut out by hand here."""
     pages = {r["page_id"]: r["html"] for r in given(spark, "pages").collect()}
