@@ -7,10 +7,11 @@ and a piece goes to the sequence with the least free space that still holds it.
 the fullest is closed. A packer holds ``OPEN_BINS`` sequences and nothing else, so its memory does not grow.
 
 The tokenizer drops white space and never joins across it, so a text is tokenised chunk by chunk between white space
-and the ids of short chunks are remembered (``REMEMBERED`` at most); the result is that of the whole text.
+and the ids of short chunks are remembered (``REMEMBERED`` at most); the result is that of the whole text. Chunks that
+may hold a special token go to the tokenizer whole.
 
 Defined cases: a null or empty text is the one id 0; equal rows are packed each by itself; an empty table gives no
-rows; the input may have further columns of any name. Bytes that are not UTF-8 are replaced before tokenising.
+rows; the input may have further columns of any name; a very long text is held by one task, with its ids as bytes. Bytes that are not UTF-8 are replaced before tokenising.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ ENDINGS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # A packer closes its open sequences at the end, so it should fill many: about this many tokens each.
 PACKER_TOKENS = 4_000_000
 ID_BYTES = 4
+# The names of special tokens begin with this.
+SPECIAL = b"<|"
 # Letters that no normalisation changes.
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
 SEQUENCE_STRIDE = 1 << 40
@@ -72,7 +75,10 @@ class ChunkIds(dict):
     def __missing__(self, chunk: bytes) -> bytes:
         core = chunk.rstrip(ENDINGS)
         text = chunk.decode("utf-8", "replace")
-        if LETTERS.fullmatch(text):
+        if SPECIAL in chunk:
+            # The name of a special token may lie anywhere in the chunk, its ending included.
+            found = array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        elif LETTERS.fullmatch(text):
             # One run of plain letters: it goes to the merges as it is.
             spelt = chunk.decode("latin-1").translate(self._shown)
             found = array("I", [token.id for token in self._merge(spelt)]).tobytes()
@@ -91,7 +97,7 @@ class ChunkIds(dict):
         """The ids of a text and the end id."""
         text = text or b""
         # The names of special tokens are told apart by case.
-        chunks = (text if b"<|" in text else text.lower()).split()
+        chunks = (text if SPECIAL in text else text.lower()).split()
         return b"".join(map(self.__getitem__, chunks)) + array("I", [END_ID]).tobytes()
 
 
@@ -183,8 +189,9 @@ def pack(parts: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS) ->
     packers = max(1, min(total // PACKER_TOKENS, shuffle_partitions(parts.sparkSession)))
     kind = parts.schema["doc_id"].dataType.simpleString()
     order = ["__order", "doc_id", "piece"]
+    # Equal rows differ by the part of the written table they lie in, so copies of one row reach many packers.
     dealt = (
-        parts.withColumn("__order", F.xxhash64("doc_id", "piece", "ids_crc32"))
+        parts.withColumn("__order", F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id()))
         .repartition(packers, "__order").sortWithinPartitions(*order)
         .withColumn("__packer", F.spark_partition_id()).drop("__order"))
     return dealt.mapInArrow(_pack(size, open_bins), f"doc_id {kind}, {PIECES}, sequence_id long, offset long")

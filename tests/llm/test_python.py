@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 import struct
 import sys
@@ -62,6 +63,21 @@ def test_packing(spark, which):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_chunk_ids_are_those_of_whole_texts():
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    tokenizer = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    known = packing.ChunkIds(None)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<", "|", ">", "word", "Word", "don't", "'s",
+              "!!", ",", ".", "12", "é", "ÉA", "日本", " ", "  ", "\n", "\t", "ß", "_", "-", "\x85", "😀", "a", "Z"]
+    draw = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randrange(1, 12)))
+        expected = struct.pack("<I", 0)
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert known.of(text.encode()) == struct.pack(f"<{len(ids)}I", *ids) + expected, text
+
+
 def test_packer_takes_the_fullest_that_fits():
     packer = packing.Packer(10, 2)
     assert [packer.place(n) for n in (6, 5, 4, 5, 10, 3, 8, 9)] == [
