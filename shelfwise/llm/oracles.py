@@ -1,6 +1,7 @@
 """SQL for the queries that SQL can express, over the same tables.
 
-No SQL: op4 (approximate), op5 (a tree per page), op6 and op8 (checksums, tokenizer), op9 (the battery's thresholds);
+No SQL: op4 (approximate), op5 (a tree per page), op6 and op8 (checksums, tokenizer), op9 (the battery's thresholds),
+op11 (eigenvectors);
 these are tested against plain Python in ``tests/llm``.
 """
 
@@ -103,3 +104,46 @@ reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b f
 select w.doc_id, coalesce(n, 0)::bigint as n_shingles, (select min(b) from reach where a = w.doc_id) as component_id
 from w left join sizes using (doc_id)
 """
+
+TERMS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP12 = f"""
+with d as (select row_number() over () as k, doc_id, {TERMS} as terms from documents),
+q as (select row_number() over () as i, item_id, unnest(list_distinct({TERMS})) as term from benchmark),
+postings as (select k, term, count(*) as tf from (select k, unnest(terms) as term from d) group by 1, 2),
+total as (select count(*) as docs, sum(len(terms))::bigint as terms from d where len(terms) > 0),
+weighed as (select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from postings, total group by 1),
+lengths as (select k, doc_id, 50 + (50 * len(d.terms)::bigint * docs) // total.terms as m from d, total),
+scores as (select i, item_id, k, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+    from q join weighed using (term) join postings using (term) join lengths using (k) group by 1, 2, 3),
+ranked as (select item_id, row_number() over (partition by i order by score desc, doc_id)::int as rank, doc_id, score
+    from scores join lengths using (k) where score > 0)
+select * from ranked where rank <= 50
+"""
+
+# CRC-32, bit by bit, of the few digits of an id.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({c}::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+        lambda r, _: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end)), 4294967295)"""
+
+OP13 = f"""
+with d as (select row_number() over () as k, doc_id, lang, coalesce({CRC32.format(c="doc_id")} % 4 = 2, false) as held_out,
+    text from documents),
+words as (select k, ' ' || w || ' ' as w, count(*) as n
+    from (select k, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) as w from d) group by 1, 2),
+grams as (select k, gram, sum(n) as n from (
+    select k, n, unnest(list_concat(list_transform(range(2, length(w)), lambda i: w[i:i]),
+        list_transform(range(1, length(w)), lambda i: w[i:i + 1]),
+        list_transform(range(1, length(w) - 1), lambda i: w[i:i + 2]))) as gram from words) group by 1, 2),
+profiles as (select lang, gram, row_number() over (partition by lang order by sum(n) desc, gram) as rank
+    from grams join d using (k) where not held_out and lang is not null group by 1, 2 qualify rank <= 300),
+own as (select k, gram, row_number() over (partition by k order by n desc, gram) as rank from grams qualify rank <= 300),
+gained as (select k, lang, sum(300 - abs(own.rank - profiles.rank)) as gain from own join profiles using (gram) group by 1, 2),
+best as (select k, (300 * m - coalesce(gain, 0))::double as distance, lang, (300 * m)::double as most
+    from (select k, count(*) as m from own group by 1) cross join (select distinct lang from profiles)
+    left join gained using (k, lang)
+    qualify row_number() over (partition by k order by 300 * m - coalesce(gain, 0), lang) = 1)
+select doc_id, held_out, coalesce(best.lang, 'und') as lang_pred, coalesce(1.0 - distance / most, 0.0) as score
+from d left join best using (k)
+"""

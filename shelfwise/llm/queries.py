@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import html_text, mixing, near, nearest, oracles, packing, quality, secret_scan, shards, substrings, urls
+from shelfwise.llm import (
+    html_text, language, lexical, mixing, near, nearest, oracles, packing, quality, secret_scan, shards, substrings, urls,
+    whitening,
+)
 from shelfwise.llm.common import table
 
 # The url rules and hosts in use.
@@ -70,6 +73,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language.split_by_id(docs))
+    return language.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
@@ -81,6 +98,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_whitening": op11_whitening,
+    "op12_lexical": op12_lexical,
+    "op13_language": op13_language,
 }
 ORACLES = {
     "op1_mixing": oracles.OP1,
@@ -88,4 +108,6 @@ ORACLES = {
     "op3_substrings": oracles.OP3,
     "op7_quality": oracles.OP7,
     "op10_jaccard_join": oracles.OP10,
+    "op12_lexical": oracles.OP12,
+    "op13_language": oracles.OP13,
 }
