@@ -18,9 +18,9 @@ name are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,77 +35,75 @@ PROFILE = 300
 LONGEST = 3
 MAX_LANGUAGES = 10_000
 UNKNOWN = "und"
-# Distinct words that a task holds between two partial counts, and the words whose n-grams it remembers.
-HELD_WORDS = 200_000
+# N-grams that a task holds between two partial counts.
+HELD = 2_000_000
+# Texts are worked on in pieces of so many characters.
 PIECE = 1 << 20
 # Characters of a gram lie in 21 bits each, the first one highest.
 BITS = 21
-RUN = re.compile(r"[^\W\d_]+")
-
-
-def _pieces(text: str) -> Iterator[str]:
-    """A long text in pieces that end at a space."""
-    at = 0
-    while len(text) - at > PIECE:
-        end = text.find(" ", at + PIECE)
-        if end < 0:
-            break
-        yield text[at:end]
-        at = end
-    yield text[at:]
-
-
-def words_of(text: str) -> Counter:
-    """How often each word occurs."""
-    found: Counter = Counter()
-    for piece in _pieces(text):
-        found.update(RUN.findall(piece.lower()))
-    # The pattern also takes numbers that are not digits; those part words too.
-    for word in [w for w in found if not w.isalpha()]:
-        n = found.pop(word)
-        for part in "".join(c if c.isalpha() else " " for c in word).split():
-            found[part] += n
-    return found
-
-
-class Grams(dict):
-    """The n-grams of a word as numbers."""
-
-    def __missing__(self, word: str) -> np.ndarray:
-        codes = np.frombuffer(f" {word} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        found = [codes[1:-1] << (2 * BITS)]
-        for n in range(2, LONGEST + 1):
-            if len(codes) >= n:
-                parts = [codes[i:len(codes) - n + 1 + i] << ((LONGEST - 1 - i) * BITS) for i in range(n)]
-                found.append(np.add.reduce(parts))
-        grams = np.concatenate(found)
-        if len(self) >= HELD_WORDS:
-            self.clear()
-        self[word] = grams
-        return grams
-
-    def counted(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct n-grams of counted words, in ascending order, and their counts."""
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lists = [self[w] for w in words]
-        each = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(g) for g in lists])
-        grams, place = np.unique(np.concatenate(lists), return_inverse=True)
-        # Sums of doubles are exact up to 2^53 occurrences.
-        return grams, np.bincount(place, each).astype(np.int64)
+SPACE = 32
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
+def _counted(grams: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams in ascending order, and how often each occurs (or the sums of ``counts``)."""
+    if counts is None:
+        grams = np.sort(grams)
+    else:
+        order = np.argsort(grams, kind="stable")
+        grams, counts = grams[order], counts[order]
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
+    if counts is None:
+        return grams[first], np.diff(np.append(first, len(grams)))
+    return grams[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a text as numbers, ascending, and their counts."""
+    text, letters = (text or "").lower(), _letters()
+    parts, held = [], np.array([SPACE])
+    for at in range(0, len(text), PIECE):
+        codes = np.frombuffer(text[at:at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        last = at + PIECE >= len(text)
+        row = np.concatenate([held, np.where(letters[codes], codes, SPACE), [SPACE] * last]).astype(np.int64)
+        # One space between two words; the last characters wait for what follows them.
+        row = row[np.append(True, (row[1:] != SPACE) | (row[:-1] != SPACE))]
+        held = row[-(LONGEST - 1):]
+        begins = len(row) if last else max(len(row) - LONGEST + 1, 0)
+        inner = row != SPACE
+        grams = [(row[:begins] << (2 * BITS))[inner[:begins]]]
+        n = min(begins, len(row) - 1)
+        grams.append((row[:n] << (2 * BITS)) + (row[1:n + 1] << BITS))
+        n = min(begins, len(row) - 2)
+        if n > 0:
+            grams.append(((row[:n] << (2 * BITS)) + (row[1:n + 1] << BITS) + row[2:n + 2])[inner[1:n + 1]])
+        parts.append(_counted(np.concatenate(grams)))
+    if len(parts) == 1:
+        return parts[0]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return _counted(*(np.concatenate(lists) for lists in zip(*parts)))
 
 
 def _top(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The most frequent n-grams, the smaller ones first among equals."""
+    if len(counts) > PROFILE:
+        good = counts >= np.partition(counts, -PROFILE)[-PROFILE]
+        grams, counts = grams[good], counts[good]
     return grams[np.argsort(-counts, kind="stable")[:PROFILE]]
 
 
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams = Grams()
-    held: dict[str, Counter] = {}
+    held: dict[str, list] = {}
 
     def sent() -> Iterator[pa.RecordBatch]:
-        for lang, words in held.items():
-            found, counts = grams.counted(words)
+        for lang, parts in held.items():
+            found, counts = _counted(*(np.concatenate(lists) for lists in zip(*parts)))
             yield pa.record_batch([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(counts)],
                                   ["lang", "gram", "n"])
         held.clear()
@@ -113,10 +111,10 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     size = 0
     for batch in batches:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
-            words = words_of(text.as_py())
-            held.setdefault(lang.as_py(), Counter()).update(words)
-            size += len(words)
-            if size >= HELD_WORDS:
+            found = gram_counts(text.as_py())
+            held.setdefault(lang.as_py(), []).append(found)
+            size += len(found[0])
+            if size >= HELD:
                 yield from sent()
                 size = 0
     yield from sent()
@@ -139,10 +137,9 @@ class Ranker:
         order = np.argsort(gram, kind="stable")
         self._names, self._lang, self._rank = names, lang[order], rank[order]
         self._grams, self._start, self._size = np.unique(gram[order], return_index=True, return_counts=True)
-        self._words = Grams()
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        top = _top(*self._words.counted(words_of(text or "")))
+        top = _top(*gram_counts(text))
         if not len(top) or not self._names:
             return UNKNOWN, 0.0
         place = np.minimum(np.searchsorted(self._grams, top), len(self._grams) - 1)

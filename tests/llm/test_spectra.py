@@ -217,12 +217,22 @@ def test_language_odd_rows(spark):
     assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in split)
 
 
-def test_words_in_pieces(monkeypatch):
-    text = "Ça va bien. " * 30 + "x" * 80 + " Σίσυφος ²a²"
-    whole = language.words_of(text)
-    monkeypatch.setattr(language, "PIECE", 9)
-    assert language.words_of(text) == whole
-    assert whole["a"] == 1 and "²a²" not in whole
+def plain_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    found = Counter()
+    for w in words:
+        p = f" {w} "
+        found.update(p[i:i + n] for n in (1, 2, 3) for i in range(len(p) - n + 1) if p[i:i + n] != " ")
+    return {sum(ord(c) << (21 * (2 - i)) for i, c in enumerate(g)): n for g, n in found.items()}
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 9, 1 << 20])
+def test_grams_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(language, "PIECE", piece)
+    for text in (None, "", " ", "a", "a b", "12 ² _!", "Ça va  bien.\n" * 7 + "x" * 30 + " Σίσυφος ²a² 日本語😀 İ"):
+        grams, counts = language.gram_counts(text)
+        assert dict(zip(grams.tolist(), counts.tolist())) == plain_grams(text)
+        assert (np.diff(grams) > 0).all()
 
 
 def test_too_many_labels(spark, monkeypatch):
