@@ -11,8 +11,8 @@ into buckets. For a query and a bucket:
   the bound on what is left (by coordinates, and by the lengths that are left) reaches it.
 * Survivors are rescored exactly in 64-bit whole numbers and kept in the task's best list.
 
-The threshold is the score of the last place of the best list so far, and starts from that over the ``HEAD_ROWS``
-longest vectors, so it never exceeds the true one: results are exact, ties included. Each task sends at most ``k`` rows
+The threshold is the score of the last place of the best list so far, and starts from that over about ``HEAD_ROWS`` of
+the longest vectors, so it never exceeds the true one: results are exact, ties included. Each task sends at most ``k`` rows
 a query.
 
 Queries come in blocks with ``BLOCK_TERMS`` terms in all (one query more at most), each block one search over all
@@ -241,7 +241,8 @@ def _of_block(docs: DataFrame, lines: list, k: int) -> DataFrame:
     number = {t: i for i, t in enumerate(sorted({bytes(t) for line in lines for t in line["terms"]}))}
     kind = docs.schema["doc_id"].dataType.simpleString()
     vectors = settle(docs.mapInArrow(_counted(share(number)), f"doc_id {kind}, {VECTORS}"), "vectors")
-    total = vectors.frame.agg(F.sum((F.col("n") > 0).cast("long")).alias("docs"), F.sum("n").alias("terms")).first()
+    total = vectors.frame.agg(F.sum((F.col("n") > 0).cast("long")).alias("docs"), F.sum("n").alias("terms"),
+                              F.sum((F.size("ids") > 0).cast("long")).alias("vectors")).first()
     n_docs, n_terms = total["docs"] or 0, total["terms"] or 0
     df = np.zeros(len(number), np.int64)
     for line in vectors.frame.select(F.explode("ids").alias("id")).groupBy("id").count().collect():
@@ -254,10 +255,14 @@ def _of_block(docs: DataFrame, lines: list, k: int) -> DataFrame:
     found_kind = to_arrow_type(docs.schema["doc_id"].dataType)
     schema = f"__item long, doc_id {kind}, score long"
     order = [F.desc("length"), F.col("__salt")]
-    head = impacts.orderBy(*order).limit(HEAD_ROWS).drop("__salt").mapInArrow(
+    # About the longest vectors, where they lie: any set of documents gives a threshold that is not too high.
+    share_of_head = HEAD_ROWS / max(total["vectors"] or 0, HEAD_ROWS)
+    least = impacts.agg(F.percentile_approx("length", F.lit(1 - share_of_head)).alias("length")).first()["length"] or 0.0
+    head = impacts.filter(F.col("length") >= least).drop("__salt").sortWithinPartitions(F.desc("length")).mapInArrow(
         _search(share(queries), weights, k, found_kind), schema)
-    floors = {line["__item"]: line["score"] for line in head.groupBy("__item").agg(
-        F.count(F.lit(1)).alias("n"), F.min("score").alias("score")).filter(F.col("n") == k).collect()}
+    last = F.row_number().over(Window.partitionBy("__item").orderBy(F.desc("score")))
+    floors = {line["__item"]: line["score"] for line in
+              head.withColumn("__at", last).filter(F.col("__at") <= k).filter(F.col("__at") == k).collect()}
     queries = [(key, own, floors.get(key, 0)) for key, own, _ in queries]
     parts = shuffle_partitions(spark)
     ordered = impacts.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("__salt")
