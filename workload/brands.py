@@ -33,6 +33,16 @@ SAVED_MAPPING = """select concat('BRAND#', cast(r_regionkey as string)) as brand
 
 LINES = "select concat(upper(p_name), ' ', upper(p_brand)) as brand, count(*) as freq from {part} group by 1"
 
+# Long lines with one common stem: most are similar to many others.
+SUPPLIER_LINES = """select concat(upper(s_name), ' DELIVERS TO ', n_name, ' OF ', r_name, ' FOR ', cast(s_acctbal as string))
+    as brand, cast(1 + s_suppkey % 4 as bigint) as freq
+  from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey"""
+
+
+def _supplier_lines(spark, sf):
+    tables = {name: table(spark, sf, name) for name in ("supplier", "nation", "region")}
+    return spark.sql(SUPPLIER_LINES, **tables)
+
 
 def _references(spark, sf):
     part = table(spark, sf, "part")
@@ -89,6 +99,7 @@ QUERIES = {
     "line_mapping": lambda s, d: similar_brand_mapping(spark_lines(s, d), THRESHOLD),
     "customer_name_mapping": lambda s, d: similar_brand_mapping(
         table(s, d, "customer").select(F.upper("c_name").alias("brand"), F.lit(1).alias("freq")), THRESHOLD),
+    "supplier_line_mapping": lambda s, d: similar_brand_mapping(_supplier_lines(s, d), THRESHOLD),
     "unify_brands_build": lambda s, d: B.unify_brands(branded(s, d), threshold=THRESHOLD)[0],
     "unify_brands_reuse": _unify_reuse,
     "clean_and_unify": lambda s, d: clean_and_unify(
@@ -225,6 +236,9 @@ ORACLES = {
     "brand_mapping": _recursive(f"{_COUNTED}{_mapping_sql('freq')} select * from brand_map"),
     "line_mapping": _recursive(f"with freq as ({LINES.replace('{part}', 'part')}){_mapping_sql('freq')} "
                                "select * from brand_map"),
+    "supplier_line_mapping": _recursive(
+        f"with freq as ({SUPPLIER_LINES.format(supplier='supplier', nation='nation', region='region')})"
+        f"{_mapping_sql('freq')} select * from brand_map"),
     "unify_brands_build": _recursive(f"{_COUNTED}{_mapping_sql('freq')} select r.* replace ({_replaced('brand_map')}) "
                                      "from rooted r"),
     "unify_brands_reuse": f"{_ROOTED}{_SAVED} select r.* replace ({_replaced('saved')}) from rooted r",
