@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression, LogisticRegressionModel, MultilayerPerceptronClassifier,
-)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shelfwise.operators.labels import level_target
 from shelfwise.operators.materialise import settle
 from shelfwise.operators.metrics import class_weights
+from shelfwise.operators.numbering import number_in_order
 
 HIDDEN = 128
-# So many models are fitted at the same time; each is a chain of small jobs.
-FITS_AT_ONCE = 8
+# Starts of paths that a prediction keeps from bit to bit.
+BEAM = 8
+# Label paths whose tree is broadcast at once: at most eight bytes for each path and bit.
+BLOCK_PATHS = 100_000
+SLICE_ROWS = 512
 # The perceptron takes no weights, so rows are repeated, each class up to about so many times its share.
 FINEST_REPEAT = 8
 
@@ -76,79 +80,177 @@ def score_errors(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class LevelModel:
-    """Predicts the number of a label bit by bit, the highest first, each bit given the ones before it.
+class LevelModels:
+    """Predicts the labels of all levels together, bit by bit on the tree of the label paths seen in training.
 
-    Its size grows with the logarithm of the number of labels, so a level may have any number of them.
+    The number of a label is a row of bits, and a path (one label a level) the bits of its labels one after the other.
+    Each bit is given by a logistic model of the features and of the bits before it, so the size of the model grows
+    with the logarithm of the number of labels. A prediction follows the ``BEAM`` most probable starts of real paths
+    through the bits, so parents say which children are possible and the result is always a path that occurred.
     """
 
-    top: int  # the largest number it can give
-    bits: tuple[LogisticRegressionModel, ...]
+    levels: tuple[str, ...]
+    bits: tuple[int, ...]  # of each level
+    weights: np.ndarray  # a line per bit: features, earlier bits, constant
+    paths: DataFrame  # block and path (array of numbers), each once
 
-    def predict(self, df: DataFrame, out: str, features: str = "features") -> DataFrame:
-        names = [f"__bit{i}" for i in range(len(self.bits))]
-        for i, model in enumerate(self.bits):
-            ready = _with_bits(df, features, names[:i])
-            df = model.transform(ready).withColumn(names[i], F.col("__prediction")).drop(
-                "__in", "__prediction", "__probability", "__raw")
-        number = sum((F.col(name) * (1 << (len(names) - 1 - i)) for i, name in enumerate(names)), F.lit(0))
-        # Bits that were never seen together can name no label; the largest number stands for them.
-        return df.withColumn(out, F.least(number, F.lit(self.top)).cast("int")).drop(*names)
+    def predict(self, df: DataFrame, features: str = "features") -> DataFrame:
+        """Add ``pred_<level>_idx``. The tree is read in blocks of at most ``BLOCK_PATHS`` paths, each one pass over
+        the rows; the best path of all blocks stands."""
+        spark = df.sparkSession
+        names = [f"pred_{c}_idx" for c in self.levels]
+        share = spark.sparkContext.broadcast
+        weights, size = share(self.weights), self.weights.shape[1] - len(self.weights) - 1
+        found = df.select("*", *[F.lit(None).cast("int").alias(n) for n in names], F.lit(None).cast("double").alias("__best"))
+        blocks = sorted(line["block"] for line in self.paths.select("block").distinct().collect())
+        for at, block in enumerate(blocks):
+            lines = self.paths.filter(F.col("block") == block).select("path").collect()
+            tree = share(label_tree(np.array([line["path"] for line in lines], np.int64), self.bits))
+            found = found.mapInArrow(_follow(tree, weights, size, features, names), found.schema)
+            if at < len(blocks) - 1:
+                found = settle(found, "predicted").frame
+        return found.drop("__best")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(self.top, len(self.bits))], "top long, bits int").write.mode("overwrite").parquet(
-            f"{path}/size")
-        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-            list(pool.map(lambda i: self.bits[i].write().overwrite().save(f"{path}/bit{i}"), range(len(self.bits))))
+        self.paths.write.mode("overwrite").parquet(f"{path}/paths")
+        spark.createDataFrame([(list(self.levels), list(self.bits))], "levels array<string>, bits array<int>").write.mode(
+            "overwrite").parquet(f"{path}/levels")
+        lines = [(i, line.tolist()) for i, line in enumerate(self.weights)]
+        spark.createDataFrame(lines, "bit int, weights array<double>").write.mode("overwrite").parquet(f"{path}/weights")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> LevelModel:
-        size = spark.read.parquet(f"{path}/size").first()
-        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-            return LevelModel(size["top"], tuple(pool.map(
-                lambda i: LogisticRegressionModel.load(f"{path}/bit{i}"), range(size["bits"]))))
+    def load(spark: SparkSession, path: str) -> LevelModels:
+        shape = spark.read.parquet(f"{path}/levels").first()
+        lines = spark.read.parquet(f"{path}/weights").orderBy("bit").collect()
+        return LevelModels(tuple(shape["levels"]), tuple(shape["bits"]), np.array([line["weights"] for line in lines]),
+                           spark.read.parquet(f"{path}/paths"))
 
 
-def _with_bits(df: DataFrame, features: str, earlier: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=[features, *earlier], outputCol="__in").transform(df)
+def _path_bits(paths: np.ndarray, bits: Sequence[int]) -> np.ndarray:
+    """Paths as bits, those of the first level first, the highest first in each."""
+    return np.concatenate([(paths[:, [j]] >> np.arange(n - 1, -1, -1)) & 1 for j, n in enumerate(bits)], axis=1)
 
 
-def _fit_bit(ready: DataFrame, features: str, names: Sequence[str], i: int, epochs: int) -> LogisticRegressionModel:
-    fit = LogisticRegression(featuresCol="__in", labelCol=names[i], maxIter=epochs, regParam=1e-4, family="binomial",
-                             probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction")
-    return fit.fit(_with_bits(ready, features, names[:i]).select("__in", names[i]))
+def label_tree(paths: np.ndarray, bits: Sequence[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each bit the node that follows each node by 0 and by 1 (-1: no path goes there), and the paths in the order
+    of the last nodes."""
+    paths = np.unique(paths, axis=0)
+    coded = _path_bits(paths, bits)
+    steps, node = [], np.zeros(len(paths), np.int32)
+    for i in range(coded.shape[1]):
+        new = np.append(True, (node[1:] != node[:-1]) | (coded[1:, i] != coded[:-1, i]))
+        after = (np.cumsum(new) - 1).astype(np.int32)
+        step = np.full((2, int(node[-1]) + 1), -1, np.int32)
+        step[coded[:, i], node] = after
+        steps.append(step)
+        node = after
+    return steps, paths.astype(np.int32)
 
 
-def train_level_models(train: DataFrame, levels: Sequence[str], label: str = "is_error", features: str = "features",
-                       prefix: str = "correct_", epochs: int = 20) -> dict[str, LevelModel]:
-    """One model per level on the shared features. A wrong row teaches its corrected level.
+def _sparse_rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and values of each vector."""
+    kinds, places, values = (column.field(c) for c in ("type", "indices", "values"))
+    for kind, at, value in zip(kinds, places, values):
+        filled = value.values.to_numpy()
+        yield (at.values.to_numpy() if kind.as_py() == 0 else np.arange(len(filled))), filled
 
-    The bits of all levels learn from the true earlier bits, so they are independent and fitted some at a time.
-    """
+
+def _follow(tree, weights, size: int, features: str, names: Sequence[str]):
+    """Mapper: the best path of one block of the tree, where it beats the best one so far."""
+    def best_paths(base: np.ndarray, steps: list[np.ndarray], earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.arange(len(base))[:, None]
+        node = np.zeros((len(base), 1), np.int32)
+        score = np.zeros((len(base), 1))
+        past = np.zeros((len(base), 1, len(steps)))
+        for i, step in enumerate(steps):
+            logit = base[:, [i]] + past[:, :, :i] @ earlier[i, :i]
+            after = np.concatenate([step[0][node], step[1][node]], axis=1)
+            gained = np.concatenate([score - np.logaddexp(0, logit), score - np.logaddexp(0, -logit)], axis=1)
+            gained[after < 0] = -np.inf
+            top = np.argsort(-gained, axis=1, kind="stable")[:, :BEAM]
+            from_one = top >= node.shape[1]
+            past = past[rows, top % node.shape[1]]
+            past[:, :, i] = from_one
+            node, score = np.maximum(after[rows, top], 0), gained[rows, top]
+        return node[:, 0], score[:, 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (steps, paths), w = tree.value, weights.value
+        by_place, earlier, constant = np.ascontiguousarray(w[:, :size].T), w[:, size:-1], w[:, -1]
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                base = np.array([value @ by_place[place] for place, value in _sparse_rows(part.column(features))]) + constant
+                leaf, score = best_paths(base, steps, earlier)
+                before = part.column("__best").to_numpy(zero_copy_only=False).astype(float)
+                better = np.isnan(before) | (score > before)
+                new = {"__best": pa.array(np.where(better, score, before))}
+                for j, name in enumerate(names):
+                    old = part.column(name).fill_null(0).to_numpy(zero_copy_only=False)
+                    new[name] = pa.array(np.where(better, paths[leaf, j], old).astype(np.int32))
+                yield pa.record_batch([new.get(c, part.column(c)) for c in part.schema.names], part.schema.names)
+
+    return run
+
+
+def _bit_rows(bits: Sequence[int], size: int, features: str):
+    """Mapper: one line for each bit of each row. The vectors of different bits share no place, so one logistic model
+    of all lines holds a model for each bit."""
+    n = sum(bits)
+    width = size + n + 1
+    level = np.repeat(np.arange(len(bits)), bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                targets = np.array([part.column(f"__t{j}").fill_null(-1).to_numpy() for j in range(len(bits))]).T
+                coded = _path_bits(np.maximum(targets, 0), bits)
+                labels, places, values = [], [], []
+                for (place, value), row, known in zip(_sparse_rows(part.column(features)), coded, targets[:, level] >= 0):
+                    ones = np.flatnonzero(row * known)
+                    for i in np.flatnonzero(known):
+                        past = ones[ones < i]
+                        labels.append(float(row[i]))
+                        places.append(i * width + np.concatenate([place, size + past, [width - 1]]))
+                        values.append(np.concatenate([value, np.ones(len(past) + 1)]))
+                if not labels:
+                    continue
+                ends = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
+                vector = pa.StructArray.from_arrays([
+                    pa.array(np.zeros(len(labels), np.int8)), pa.array(np.full(len(labels), n * width, np.int32)),
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places).astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values)))],
+                    ["type", "size", "indices", "values"])
+                yield pa.record_batch([pa.array(labels), vector], ["__y", "__x"])
+
+    return run
+
+
+def train_level_models(train: DataFrame, levels: Sequence[str], label: str = "is_error", features: str = "features",
+                       prefix: str = "correct_", epochs: int = 100) -> LevelModels:
+    """Fit the bits of all levels together, one job for each pass. A wrong row teaches its corrected levels."""
     absent = [f"{prefix}{c}_idx" for c in levels if f"{prefix}{c}_idx" not in train.columns]
     if absent:
         raise ValueError(f"no corrected level to learn from: {absent}")
     wrong = F.col(label).cast("int") == 1
-    targets = train.select(features, *[level_target(c, wrong, prefix).cast("long").alias(f"__t{j}")
-                                       for j, c in enumerate(levels)])
-    tops = targets.agg(*[F.max(f"__t{j}").alias(f"m{j}") for j in range(len(levels))]).first()
-    jobs = []
-    for j, c in enumerate(levels):
-        if tops[j] is None:
+    names = [f"__t{j}" for j in range(len(levels))]
+    targets = settle(train.select(features, *[level_target(c, wrong, prefix).cast("long").alias(t)
+                                              for t, c in zip(names, levels)]), "targets").frame
+    tops = targets.agg(*[F.max(t).alias(t) for t in names]).first()
+    for t, c in zip(names, levels):
+        if tops[t] is None:
             raise ValueError(f"level {c!r} has no rows to learn from")
-        n_bits = max(1, int(tops[j]).bit_length())
-        names = [f"__bit{i}" for i in range(n_bits)]
-        ready = targets.filter(F.col(f"__t{j}").isNotNull()).select(features, *[
-            F.getbit(f"__t{j}", F.lit(n_bits - 1 - i)).cast("double").alias(name) for i, name in enumerate(names)])
-        jobs += [(c, ready, names, i) for i in range(n_bits)]
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        fitted = list(pool.map(lambda job: _fit_bit(job[1], features, job[2], job[3], epochs), jobs))
-    return {c: LevelModel(int(tops[j]), tuple(m for m, job in zip(fitted, jobs) if job[0] == c))
-            for j, c in enumerate(levels)}
-
-
-def predict_levels(df: DataFrame, models: dict[str, LevelModel]) -> DataFrame:
-    """Add ``pred_<level>_idx`` per level. Each level is written, so that no plan holds all the bits of all levels."""
-    for c, model in models.items():
-        df = settle(model.predict(df, f"pred_{c}_idx"), "predicted").frame
-    return df
+    bits = tuple(max(1, int(tops[t]).bit_length()) for t in names)
+    paths = targets.select(*names).dropna().distinct()
+    paths = number_in_order(paths.withColumn("__all", F.lit(0)), "__all", names, "__number", 0)
+    paths = settle(paths.select(F.floor(F.col("__number") / BLOCK_PATHS).alias("block"), F.array(*names).alias("path")), "paths").frame
+    if paths.isEmpty():
+        raise ValueError("no row has a label on every level")
+    size = len(targets.select(features).first()[0])
+    schema = StructType([StructField("__y", DoubleType()), StructField("__x", VectorUDT())])
+    lines = targets.mapInArrow(_bit_rows(bits, size, features), schema)
+    fit = LogisticRegression(featuresCol="__x", labelCol="__y", maxIter=epochs, regParam=1e-4, family="binomial",
+                             fitIntercept=False)
+    weights = fit.fit(lines).coefficients.toArray().reshape(sum(bits), -1)
+    return LevelModels(tuple(levels), bits, weights, paths)

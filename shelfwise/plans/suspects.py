@@ -14,7 +14,7 @@ from shelfwise.operators.features import FeatureSpec, FittedFeatures, add_featur
 from shelfwise.operators.labels import build_label_map, decode_labels, encode_labels
 from shelfwise.operators.materialise import run_folder, settle
 from shelfwise.operators.metrics import confusion, for_sink, level_accuracy, suspects
-from shelfwise.operators.model import LevelModel, predict_levels, score_errors, train_error_model, train_level_models
+from shelfwise.operators.model import LevelModels, score_errors, train_error_model, train_level_models
 from shelfwise.sources.tables import read_table, tag_split, write_csv_with_index, write_table
 
 
@@ -25,7 +25,7 @@ class SuspectSettings:
     row_id: str = "row_id"
     kind: str = "logistic"
     epochs: int = 100
-    level_epochs: int = 10  # of each bit of a level model; there are about six times the logarithm of the labels
+    level_epochs: int = 100
     correct_levels: bool = False  # also learn and predict the right levels
     text_width: int = 1 << 12
 
@@ -66,9 +66,8 @@ def _train(train_rows: DataFrame, model_dir: str, settings: SuspectSettings, res
     fitted.save(f"{model_dir}/features")
     errors.write().overwrite().save(f"{model_dir}/errors")
     if settings.correct_levels:
-        for c, model in train_level_models(ready, settings.levels, settings.label,
-                                           epochs=settings.level_epochs).items():
-            model.save(spark, f"{model_dir}/levels/{c}")
+        train_level_models(ready, settings.levels, settings.label, epochs=settings.level_epochs).save(
+            spark, f"{model_dir}/levels")
 
 
 def predict(spark: SparkSession, rows: DataFrame, model_dir: str, settings: SuspectSettings = SuspectSettings(),
@@ -80,8 +79,8 @@ def predict(spark: SparkSession, rows: DataFrame, model_dir: str, settings: Susp
                           PipelineModel.load(f"{model_dir}/errors"))
     helpers = ["description", "hierarchy_path", "features", *[f"{c}_idx" for c in settings.levels]]
     if settings.correct_levels:
-        models = {c: LevelModel.load(spark, f"{model_dir}/levels/{c}") for c in settings.levels}
-        scored = decode_labels(predict_levels(scored, models), label_map, settings.levels)
+        predicted = LevelModels.load(spark, f"{model_dir}/levels").predict(scored)
+        scored = decode_labels(predicted, label_map, settings.levels)
     return scored.drop(*helpers)
 
 

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from shelfwise.operators import model
 from shelfwise.operators.features import FeatureSpec, FittedFeatures, add_features, fit_features
 from shelfwise.operators.model import score_errors, train_error_model, train_level_models
 from shelfwise.plans.suspects import SuspectSettings, inference_metrics, run_suspects, write_suspects
@@ -60,8 +62,8 @@ def test_perceptron_trains_and_resumes(spark, items):
         F.col("is_error").cast("double"), (F.col("row_id") % 3).cast("double"))))
     first = train_error_model(rows, kind="perceptron", epochs=20)
     again = train_error_model(rows, kind="perceptron", epochs=1, start_from=first)
-    for model in (first, again):
-        scored = score_errors(rows, model)
+    for fitted in (first, again):
+        scored = score_errors(rows, fitted)
         assert scored.filter("pred_is_error <> is_error").count() == 0
         low, high = scored.agg(F.min("pred_probs"), F.max("pred_probs")).first()
         assert 0 <= low < high <= 1
@@ -103,13 +105,53 @@ def test_errors(spark, items, tmp_path):
         run_suspects(spark, items, None, "train", str(tmp_path), SuspectSettings(**SETTINGS), resume=True)
 
 
-def test_many_labels(spark):
-    """More labels than any list of coefficients should hold: the number is learnt bit by bit."""
+def test_many_labels(spark, monkeypatch):
+    """More labels than any list of coefficients should hold: the number is learnt bit by bit, also when the tree of
+    labels comes in several blocks."""
     rows = spark.range(3000).select(
         "id", F.lit(0).alias("is_error"), (F.col("id") * 7 % 30_000).cast("int").alias("l1_idx"),
         F.lit(0).alias("correct_l1_idx"))
     bits = F.array(*[F.getbit(F.col("l1_idx").cast("long"), F.lit(b)).cast("double") for b in range(15)])
     ready = rows.withColumn("features", array_to_vector(bits))
-    model = train_level_models(ready, ["l1"], epochs=20)["l1"]
-    assert len(model.bits) == 15
-    assert model.predict(ready, "found").filter("found <> l1_idx").count() == 0
+    monkeypatch.setattr(model, "BLOCK_PATHS", 1100)
+    models = train_level_models(ready, ["l1"], epochs=20)
+    assert models.bits == (15,) and models.paths.select("block").distinct().count() == 3
+    assert models.predict(ready).filter("pred_l1_idx <> l1_idx").count() == 0
+
+
+def test_tree_holds_the_paths():
+    paths = np.array([[1, 5], [1, 2], [3, 5], [0, 0], [1, 2]])
+    steps, ordered = model.label_tree(paths, (2, 3))
+    assert ordered.tolist() == [[0, 0], [1, 2], [1, 5], [3, 5]]
+    for code in range(32):
+        node = 0
+        for i, step in enumerate(steps):
+            node = step[(code >> (4 - i)) & 1, node] if node >= 0 else -1
+        found = [[code >> 3, code & 7]] if node >= 0 else []
+        assert found == [p for p in ordered.tolist() if p == [code >> 3, code & 7]]
+        assert node < 0 or ordered[node].tolist() == found[0]
+
+
+def test_children_follow_their_parents(spark):
+    """The second level alone would point elsewhere; only labels that occur under the first are given."""
+    lines = [(0, 1, 1, [1.0, 0.0]), (0, 2, 2, [0.0, 1.0])] * 20
+    rows = spark.createDataFrame([(i, e, a, b, a, b, f) for i, (e, a, b, f) in enumerate(lines)],
+                                 "id int, is_error int, l1_idx int, l2_idx int, correct_l1_idx int, correct_l2_idx int, f array<double>")
+    ready = rows.withColumn("features", array_to_vector("f"))
+    models = train_level_models(ready, ["l1", "l2"], epochs=50)
+    mixed = ready.withColumn("features", array_to_vector(F.array(F.lit(1.0), F.lit(0.9))))
+    found = models.predict(mixed).select("pred_l1_idx", "pred_l2_idx").distinct().collect()
+    assert [tuple(r) for r in found] in ([(1, 1)], [(2, 2)])
+    assert models.predict(ready).filter("pred_l1_idx <> l1_idx or pred_l2_idx <> l2_idx").count() == 0
+    assert models.predict(ready.limit(0)).count() == 0
+
+
+def test_saved_levels_predict_the_same(spark, tmp_path):
+    rows = spark.range(60).select("id", F.lit(0).alias("is_error"), (F.col("id") % 5).cast("int").alias("l1_idx"),
+                                  F.lit(0).alias("correct_l1_idx"),
+                                  array_to_vector(F.array(*[(F.col("id") % 5 == i).cast("double") for i in range(5)])).alias("features"))
+    models = train_level_models(rows, ["l1"], epochs=30)
+    models.save(spark, str(tmp_path / "levels"))
+    again = model.LevelModels.load(spark, str(tmp_path / "levels"))
+    assert again.predict(rows).filter("pred_l1_idx <> l1_idx").count() == 0
+    assert np.array_equal(again.weights, models.weights)
