@@ -10,6 +10,8 @@ from pyspark.sql.types import StringType
 
 from shelfwise import constants as C
 from shelfwise.functions import text
+from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning, attach
+from shelfwise.operators.materialise import settle
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -28,6 +30,19 @@ def repair_cells(df: DataFrame, corrections: Mapping[str, str] = C.CELL_CORRECTI
     return df.withColumns({c: text.repair_cell(F.col(f"`{c}`"), corrections) for c in string_columns(df)})
 
 
+def repair_cells_from(df: DataFrame, dictionary: DataFrame, damaged: str = "damaged", repaired: str = "repaired",
+                      columns: Sequence[str] | None = None, tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
+    """Repair damaged cells (those holding ``?``) of the listed or all string columns from a dictionary table of any
+    size. Of several lines for one damaged text the smallest repair counts; lines without ``?`` or repair never do."""
+    known = dictionary.filter(F.col(damaged).contains("?") & F.col(repaired).isNotNull())
+    lookup = settle(known.groupBy(F.col(damaged).alias("__damaged")).agg(F.min(repaired).alias("__repaired")), "repairs")
+    order = df.columns
+    for c in string_columns(df) if columns is None else columns:
+        df = attach(df, lookup, {c: "__damaged"}, tuning=tuning).withColumn(
+            c, F.coalesce("__repaired", F.col(f"`{c}`"))).drop("__repaired")
+    return df.select(*[f"`{c}`" for c in order])
+
+
 def keep_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the listed columns that exist, in the frame's order."""
     return df.select(*[f"`{c}`" for c in df.columns if c in set(columns)])

@@ -35,13 +35,15 @@ def run_log_lines(runs: DataFrame, log: DataFrame, triggers: Triggers, stamp: Co
 
 def run_triggers(runs: DataFrame, parameter_table: str, trigger_table: str, triggers: Triggers, stamp: Column,
                  tuning: JoinTuning = DEFAULT_TUNING) -> None:
-    """One round: create the logs if absent, append what is new."""
+    """One round: create the logs if absent, append what is new. A round repeated after a crash adds nothing twice."""
     spark = runs.sparkSession
     create_if_absent(spark, parameter_table, PARAMETER_LOG)
     create_if_absent(spark, trigger_table, TRIGGER_LOG)
     seen = read_table(spark, parameter_table).select("id")
     with run_folder(spark):
         lines, requests = run_log_lines(runs, seen, triggers, stamp, tuning)
-        # Requests first: a crash in between repeats requests whose job id is the same, and loses none.
-        append_rows(requests, trigger_table)
+        # Requests first, so that a crash in between loses none. The round that follows finds their runs unseen and
+        # asks again; requests whose job the log already holds are not appended a second time.
+        asked = read_table(spark, trigger_table).select("trigger_job_id")
+        append_rows(new_runs(requests, asked, "trigger_job_id", tuning), trigger_table)
         append_rows(lines, parameter_table)

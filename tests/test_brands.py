@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from shelfwise.operators import brands as B
-from shelfwise.operators.clean import left_over_missing_brands, null_brands, repair_cells
+from shelfwise.operators.clean import left_over_missing_brands, null_brands, repair_cells, repair_cells_from
 from shelfwise.operators.hierarchy import hierarchy_warnings, inconsistent_children
 from shelfwise.operators.joins import JoinTuning
 from shelfwise.operators.words import word_frequency
@@ -100,3 +100,15 @@ def test_words(spark):
     df = spark.createDataFrame([("French", "Mot"), ("French", "mot"), ("French", "deux mots"), ("German", "Wort"),
                                 ("French", None), ("French", "")], "lang string, word string")
     assert [tuple(r) for r in word_frequency(df).collect()] == [("mot", 2)]
+
+
+@BOTH
+def test_repair_from_a_table(spark, tuning):
+    df = spark.createDataFrame([(1, "Misi?n", "Acci?n"), (2, None, "Acci?n"), (3, "whole", "unknown?"), (3, "Misi?n", "")],
+                               "id int, a string, `b.c` string")
+    known = spark.createDataFrame([("Misi?n", "Misión"), ("Misi?n", "Zz"), ("Acci?n", "Acción"), ("whole", "never"),
+                                   (None, "no"), ("unknown?", None)], "damaged string, repaired string")
+    found = sorted((tuple(r) for r in repair_cells_from(df.withColumnRenamed("b.c", "b"), known, tuning=tuning).collect()), key=repr)
+    assert found == sorted([(1, "Misión", "Acción"), (2, None, "Acción"), (3, "whole", "unknown?"), (3, "Misión", "")], key=repr)
+    only = repair_cells_from(df.withColumnRenamed("b.c", "b"), known, columns=["a"], tuning=tuning)
+    assert only.filter("b = 'Acción'").count() == 0 and only.columns == ["id", "a", "b"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import triggers as T
 from shelfwise.operators.joins import JoinTuning
+from shelfwise.plans import runs as plan
 from shelfwise.plans.runs import Triggers, run_triggers
 from shelfwise.sources.tables import read_table
 from shelfwise.streaming.runs import watch_runs
@@ -72,6 +73,28 @@ def test_batch_rounds(spark, runs, tmp_path):
     assert requests.select("trigger_job_id").distinct().count() == 4
 
 
+def test_a_round_after_a_crash_adds_nothing_twice(spark, runs, tmp_path, monkeypatch):
+    logs = str(tmp_path / "parameters"), str(tmp_path / "triggers")
+    run_triggers(runs.filter("id = 'r1'"), *logs, TRIGGERS, stamp())
+
+    def crash(rows, table, append=plan.append_rows):
+        if table == logs[0]:
+            raise OSError("lost between the two logs")
+        append(rows, table)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(plan, "append_rows", crash)
+        with pytest.raises(OSError):
+            run_triggers(runs, *logs, TRIGGERS, stamp())
+    assert sorted(r.id for r in read_table(spark, logs[0]).collect()) == ["r1"]
+    assert read_table(spark, logs[1]).count() == 4
+    for _ in range(2):
+        run_triggers(runs, *logs, TRIGGERS, F.lit("2025-08-13 06:30:05").cast("timestamp"))
+        assert sorted(r.id for r in read_table(spark, logs[0]).collect()) == ["r1", "r2", "r3", "r4"]
+        requests = read_table(spark, logs[1])
+        assert requests.count() == requests.select("trigger_job_id").distinct().count() == 4
+
+
 def test_stream_sees_each_run_once_and_replays_safely(spark, runs, tmp_path):
     landing, log, requests = (str(tmp_path / n) for n in ("landing", "log", "requests"))
     checkpoint = str(tmp_path / "checkpoint")

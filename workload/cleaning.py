@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import constants as C
 from shelfwise.functions import text
-from shelfwise.operators.clean import clean_frame, left_over_missing_brands, repair_cells
+from shelfwise.operators.clean import clean_frame, left_over_missing_brands, repair_cells, repair_cells_from
 from shelfwise.operators.materialise import fresh_path
 from shelfwise.operators.words import word_frequency
 from shelfwise.sources.tables import (
@@ -96,6 +96,18 @@ def _missing_brands(spark, sf):
     return before.withColumn("step", F.lit("before")).unionByName(after.withColumn("step", F.lit("after")))
 
 
+# A dictionary of damaged product names, with two repairs for some, and cells of which some are damaged.
+REPAIRS = """select replace(p_name, ' ', '?') as damaged, concat(upper(p_name), ' ', p_brand) as repaired from {part}
+  where p_partkey % 3 <> 0 union all select p_name, 'NOT DAMAGED' from {part}"""
+CELLS = """select p_partkey, case when p_partkey % 2 = 0 then replace(p_name, ' ', '?') else p_name end as title,
+  case when p_partkey % 5 = 0 then concat(p_type, '?') else replace(p_name, ' ', '?') end as label from {part}"""
+
+
+def _repaired(spark, sf):
+    part = table(spark, sf, "part")
+    return repair_cells_from(spark.sql(CELLS, part=part), spark.sql(REPAIRS, part=part))
+
+
 QUERIES = {
     "clean_products": lambda s, d: clean_frame(products(s, d)),
     "clean_documents": lambda s, d: clean_frame(table(s, d, "documents")),
@@ -103,6 +115,7 @@ QUERIES = {
     "null_brands": branded,
     "missing_brands_left": _missing_brands,
     "repair_cells": lambda s, d: repair_cells(_damaged(s, d)),
+    "repair_cells_dictionary": _repaired,
     "describe_items": lambda s, d: cleaned(s, d, with_id=True).select(
         "row_id", text.describe(F.col("item_desc"), F.col("local_brand_name"), F.col("global_brand_name"))
         .alias("description")),
@@ -132,6 +145,10 @@ ORACLES = {
     "missing_brands_left": f"{branded_sql()} " + " union all ".join(
         f"select '{c}' as column_name, '{step}' as step, count(*) filter ({c} in ({MISSING})) as left_over from {rows}"
         for c in C.BRAND_COLUMNS for step, rows in (("before", "cl"), ("after", "nb"))),
+    "repair_cells_dictionary": f"with fixes as (select damaged, min(repaired) as repaired from ("
+        f"{REPAIRS.format(part='part')}) where contains(damaged, '?') group by 1), cells as ({CELLS.format(part='part')}) "
+        "select p_partkey, coalesce(t.repaired, title) as title, coalesce(l.repaired, label) as label from cells "
+        "left join fixes t on t.damaged = title left join fixes l on l.damaged = label",
     "repair_cells": "select id, name, case when contains(title, '?') then "
                     f"case title {_FIXES} else title end else title end as title "
                     f"from ({DAMAGED.replace('{part}', 'part')})",
