@@ -7,6 +7,7 @@ import random
 import re
 import struct
 import sys
+import time
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -153,6 +154,52 @@ def test_given_pages(spark):
         assert r["text"] == " ".join(b for b in blocks if b)
 
 
+def test_html_words_in_an_articles_own_names():
+    """Names of an article's own parts may hold words of parts to leave out; what looks like such a part goes."""
+    body = "<p>" + "body, of text. " * 30 + "</p>"
+    text = " ".join(["body, of text."] * 30)
+    kept = ["<p class='related-work'>Own paragraph.</p>", "<h2 class='share-price'>Own paragraph.</h2>",
+            "<p><span class='notice-period'>Own</span> paragraph.</p>", "<p class=notice>Own paragraph.</p>",
+            "<div class='article-header'><h2>Own paragraph.</h2></div>", "<p><b class=banner>Own</b> paragraph.</p>",
+            "<section class='legal-history'><p>Own paragraph.</p></section>",
+            "<header><div class=top><h2>Own paragraph.</h2></div><p>By someone, today</p></header>"]
+    gone = ["<p class=advert>Buy this.</p>", "<p class='cookie-notice'>Cookies!</p>", "<div class=notice>Notice.</div>",
+            "<p class='share-this'><a href=x>Share</a> <a href=y>this</a></p>", "<div class='page-header'>Site</div>",
+            "<div class='read related'><a href=x>Read this too</a></div>", "<header hidden><h2>Hidden</h2></header>",
+            "<div class='ad-slot'><p>Buy, buy, buy.</p></div>", "<header class=ad><p>Not the title</p></header>",
+            "<p>" + "<a class=comments href=x>9 comments</a>" + "</p>", "<nav><header><h2>Menu</h2></header></nav>"]
+    for name in ("article", "main"):
+        for part in kept:
+            assert html_text.main_text(f"<{name}>{body}{part}{body}</{name}>") == f"{text} Own paragraph. {text}", part
+        for part in gone:
+            assert html_text.main_text(f"<{name}>{body}{part}{body}</{name}>") == f"{text} {text}", part
+    assert html_text.main_text(f"<body><div>{body}</div><div class=legal>All rights reserved</div></body>") == text
+    # The header of the site is not the title of an article.
+    assert html_text.main_text(f"<header><h1>Site</h1></header><article>{body}</article>") == text
+
+
+def test_html_second_article():
+    body = "<p>" + "body, of text. " * 30 + "</p>"
+    text = " ".join(["body, of text."] * 30)
+    teaser = "<article><p><a href=x>Read this as well, please</a></p></article>"
+    pages = f"<div><article>{body}{body}</article><article>{body}</article>{teaser}</div>"
+    assert html_text.main_text(pages) == " ".join([text] * 3)
+
+
+@pytest.mark.parametrize("piece", ["<div>a", "<p>a", "<b>a", "<ul><li>a", "<div class=related><a href=x>a", "a</i><div>",
+                                   "<table><tr><td>a", "<header><h1 class=ad>a", "<article><p class=notice>a</b>"])
+def test_html_time_is_linear(piece):
+    """Elements nested in each other or never closed: eight times the page takes about eight times as long."""
+    def seconds(n):
+        start = time.process_time()
+        html_text.main_text("<main>" + piece * n)
+        return time.process_time() - start
+
+    seconds(1000)
+    small, large = min(seconds(2500) for _ in range(3)), min(seconds(20000) for _ in range(2))
+    assert large < 20 * small + 0.2
+
+
 # ---- nearest neighbours
 
 def brute_nearest(rows, every, k=10):
