@@ -27,7 +27,11 @@ class Triggers:
 def run_log_lines(runs: DataFrame, log: DataFrame, triggers: Triggers, stamp: Column,
                   tuning: JoinTuning = DEFAULT_TUNING) -> tuple[DataFrame, DataFrame]:
     """(parameter log lines, trigger log lines) of the runs the log has not seen."""
-    unseen = new_runs(runs, log, tuning=tuning)
+    return lines_of(new_runs(runs, log, tuning=tuning), triggers, stamp)
+
+
+def lines_of(unseen: DataFrame, triggers: Triggers, stamp: Column) -> tuple[DataFrame, DataFrame]:
+    """(parameter log lines, trigger log lines) of runs that are all new. ``unseen`` is computed once."""
     checked = settle(check_parameters(unseen, triggers.required), "checked-runs").frame
     requests = fan_out(checked.filter(F.col("status") == "detected"), triggers.targets, stamp, triggers.required)
     return parameter_log(checked, stamp), trigger_log(requests, stamp)

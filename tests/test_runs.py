@@ -3,6 +3,7 @@ from __future__ import annotations
 import shutil
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from shelfwise.operators import triggers as T
@@ -10,6 +11,7 @@ from shelfwise.operators.joins import JoinTuning
 from shelfwise.plans import runs as plan
 from shelfwise.plans.runs import Triggers, run_triggers
 from shelfwise.sources.tables import read_table
+from shelfwise.streaming import runs as streaming
 from shelfwise.streaming.runs import watch_runs
 
 SCHEMA = "id string, name string, parameters map<string,string>, status string, runMessage string"
@@ -117,6 +119,85 @@ def test_stream_sees_each_run_once_and_replays_safely(spark, runs, tmp_path):
     assert spark.read.parquet(requests).count() == 4
 
 
+def _landing(spark, tmp_path, **options):
+    """A folder to land lines in, and a function that runs the stream on what landed and returns the logged ids."""
+    landing, log, requests, checkpoint = (str(tmp_path / n) for n in ("landing", "log", "requests", "checkpoint"))
+
+    def land(rows):
+        spark.createDataFrame(rows, SCHEMA).repartition(3).write.mode("append").json(landing)
+
+    def watch():
+        stream = spark.readStream.schema(SCHEMA).json(landing)
+        watch_runs(stream, log, requests, checkpoint, TRIGGERS, stamp(), **options).awaitTermination()
+        return sorted((r.batch_id, r.id, r.run_name) for r in spark.read.parquet(log).collect())
+
+    return land, watch
+
+
+def test_stream_state_knows_what_was_seen_without_the_log(spark, tmp_path):
+    land, watch = _landing(spark, tmp_path)
+    land([RUNS[0], ("r2", "two", {}, "DONE", "m"), ("r2", "three", {}, "DONE", "m"), (None, "n", {}, "DONE", "m")])
+    assert watch() == [(0, "", "n"), (0, "r1", "one"), (0, "r2", "three")]
+    # The log is taken away; the state alone tells which runs are new.
+    (tmp_path / "log").rename(tmp_path / "log-of-the-first-batch")
+    land(RUNS + [(None, "n", {}, "DONE", "m")])
+    assert watch() == [(1, "", "n"), (1, "r3", "three"), (1, "r4", "four")]
+    assert spark.conf.get(streaming.STATE_STORE, None) is None
+    state = list((tmp_path / "checkpoint" / "state").rglob("*.zip"))
+    assert state, "the state is kept in RocksDB"
+
+
+def test_stream_killed_between_the_two_logs(spark, tmp_path, monkeypatch):
+    land, watch = _landing(spark, tmp_path)
+    land(RUNS[:2])
+    first = watch()
+    land([*RUNS, ("r3", "other", {"MONTHS": "1"}, "DONE", "m")])
+    with monkeypatch.context() as broken:
+        broken.setattr(streaming, "lines_of", _crash_after_requests(streaming.lines_of))
+        with pytest.raises(StreamingQueryException):
+            watch()
+    assert {r.id for r in spark.read.parquet(str(tmp_path / "log")).collect()} == {"r1", "r2"}
+    after = watch()
+    assert after == [*first, (1, "r3", "other"), (1, "r4", "four")]
+    requests = spark.read.parquet(str(tmp_path / "requests"))
+    assert requests.count() == requests.select("trigger_job_id").distinct().count() == 4
+    assert watch() == after
+
+
+def _crash_after_requests(lines_of):
+    def broken(*args):
+        lines, requests = lines_of(*args)
+        return lines.withColumn("id", F.raise_error(F.lit("lost between the two logs"))), requests
+    return broken
+
+
+def test_stream_forgets_in_time(spark, tmp_path):
+    land, watch = _landing(spark, tmp_path, remember_ms=1)
+    land(RUNS[:1])
+    watch()
+    land(RUNS[:1])
+    assert watch() == [(0, "r1", "one"), (1, "r1", "one")]
+
+
+def test_stream_lines_keep_their_values(spark, tmp_path):
+    schema = "id string, n long, t timestamp, d decimal(20,3), f double, m map<string,string>"
+    rows = spark.sql("select 'a' id, 9007199254740993L n, timestamp'2025-01-02 03:04:05.678901' t, 1.5BD d, "
+                     "double('NaN') f, map('k', cast(null as string)) m union all "
+                     "select 'b', null, null, null, null, null").select(
+        "id", "n", "t", F.col("d").cast("decimal(20,3)").alias("d"), "f", "m")
+    rows.write.parquet(str(tmp_path / "in"))
+    found = {}
+
+    def keep(batch, _):
+        found.update({r["id"]: r for r in batch.collect()})
+
+    stream = streaming.first_sights(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    stream.writeStream.outputMode("update").foreachBatch(keep).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    for wanted in rows.collect():
+        assert str(found[wanted["id"]]) == str(wanted)
+
+
 def test_a_run_occurs_once(spark):
     runs = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "z"), ("b", "y"), ("c", "x"), (None, "n")],
                                  "id string, name string")

@@ -74,16 +74,18 @@ def _log_lines(part):
 
 
 def _stream(spark, sf, log="parameter_log"):
-    """Three landed files, one micro-batch each; some runs occur twice in a file and again in the next one."""
+    """Three landings, one micro-batch each; some runs occur twice in a landing and again in the next one."""
     events = table(spark, sf, "events")
     base = fresh_path(spark, "stream")
+    stream = None
     for part in range(3):
         own = events.filter(F.col("event_id") % 3 == part)
         again = events.filter((F.col("event_id") % 3 != (part + 1) % 3) & (F.col("event_id") % 50 == 0))
-        own.unionByName(again).coalesce(1).write.mode("append").parquet(f"{base}/landed")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
-    watch_runs(_as_runs(stream), f"{base}/parameter_log", f"{base}/trigger_log", f"{base}/checkpoint", TRIGGERS,
-               _stamp()).awaitTermination()
+        own.unionByName(again).write.parquet(f"{base}/landed/{part}")
+        stream = stream or spark.readStream.schema(events.schema).parquet(f"{base}/landed/*")
+        # Each start goes on from the checkpoint of the one before.
+        watch_runs(_as_runs(stream), f"{base}/parameter_log", f"{base}/trigger_log", f"{base}/checkpoint", TRIGGERS,
+                   _stamp()).awaitTermination()
     return spark.read.parquet(f"{base}/{log}").drop("batch_id")
 
 
