@@ -1,7 +1,14 @@
-"""Read and write tables, CSV, JSON lines and text."""
+"""Read and write tables, CSV, JSON lines and text.
+
+A table under a path is a plain parquet folder until it is first replaced. From then on each state of it is a folder
+``_versions/v<n>``, and an empty file ``_versions/ok<n>``, which appears in one step, says that it is complete: the
+highest one is the table. A write that dies at any point leaves the state before it; the next one clears what is left.
+There is no moment without a table. One writer at a time; read and append by the functions here.
+"""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -19,9 +26,37 @@ def is_path(name: str) -> bool:
     return "/" in name
 
 
+def _located(spark: SparkSession, name: str):
+    """The file system and path object of a name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    system, path = _located(spark, folder)
+    return [line.getPath().getName() for line in system.listStatus(path)] if system.exists(path) else []
+
+
+def _numbers(names: Sequence[str], prefix: str) -> list[int]:
+    return [int(m.group(1)) for m in (re.fullmatch(prefix + r"(\d+)", n) for n in names) if m]
+
+
+def _folder(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds the table of this path now; None if there is no table."""
+    path = path.rstrip("/")
+    complete = _numbers(_names(spark, f"{path}/_versions"), "ok")
+    if complete:
+        return f"{path}/_versions/v{max(complete)}"
+    held = _names(spark, path)
+    return path if "_SUCCESS" in held or any(not n.startswith(("_", ".")) for n in held) else None
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalogue table by name, or a parquet table by path."""
-    return spark.read.parquet(name) if is_path(name) else spark.table(name)
+    if not is_path(name):
+        _finish_renames(spark, name)
+        return spark.table(name)
+    return spark.read.parquet(_folder(spark, name) or name)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, keep_corrupt: bool = False) -> DataFrame:
@@ -61,7 +96,11 @@ def cast_to(df: DataFrame, schema: StructType | str) -> DataFrame:
 
 
 def write_table(df: DataFrame, name: str, schema: StructType | str | None = None) -> None:
-    """Replace the table. The frame may read the very table it replaces: it is written beside it first."""
+    """Replace the table. The frame may read the very table it replaces: it is written beside it first.
+
+    Whatever happens in between, the table is there, old or new. Only a catalogue table that changes its columns, is
+    partitioned or external has a short moment between two renames; the next read or write of it finishes them.
+    """
     if schema is not None:
         df = cast_to(df, schema)
     if is_path(name):
@@ -72,49 +111,82 @@ def write_table(df: DataFrame, name: str, schema: StructType | str | None = None
 
 def _replace_folder(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
-    mark = uuid.uuid4().hex
-    staging, old = f"{path}__new_{mark}", f"{path}__old_{mark}"
-    df.write.parquet(staging)
-    to_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    had_old = fs.exists(to_path(path))
-    if had_old and not fs.rename(to_path(path), to_path(old)):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(to_path(staging), to_path(path)):
-        if had_old:
-            fs.rename(to_path(old), to_path(path))
-        raise OSError(f"cannot move {staging} into place")
-    if had_old:
-        fs.delete(to_path(old), True)
+    versions = f"{path}/_versions"
+    held = _names(spark, versions)
+    number = max([0, *_numbers(held, "v"), *_numbers(held, "ok")]) + 1
+    df.write.parquet(f"{versions}/v{number}")
+    _complete(spark, versions, number)
+    _clear(spark, path, number)
     spark.catalog.refreshByPath(path)
 
 
+def _complete(spark: SparkSession, versions: str, number: int) -> None:
+    """Make this version the table. A second writer of the same version fails here."""
+    system, mark = _located(spark, f"{versions}/ok{number}")
+    if not system.createNewFile(mark):
+        raise OSError(f"{versions} is written by someone else")
+
+
+def _clear(spark: SparkSession, path: str, number: int) -> None:
+    """Delete all that is not this version: states before it, and parts of writes that died."""
+    for folder, kept in ((f"{path}/_versions", {f"v{number}", f"ok{number}"}), (path, {"_versions"})):
+        for name in _names(spark, folder):
+            if name not in kept:
+                system, left = _located(spark, f"{folder}/{name}")
+                system.delete(left, True)
+
+
 def _replace_catalogue_table(df: DataFrame, name: str) -> None:
     spark = df.sparkSession
+    _finish_renames(spark, name)
     if not spark.catalog.tableExists(name):
         df.write.format("parquet").saveAsTable(name)
         return
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     mark = uuid.uuid4().hex
-    staging, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
-    df.write.format("parquet").saveAsTable(staging)
+    same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]
+    if same and facts.get("Type") == "MANAGED" and facts.get("Provider") == "parquet" and (
+            "# Partition Information" not in facts):
+        old = facts["Location"]
+        new = f"{re.sub('__v_[0-9a-f]{32}$', '', old)}__v_{mark}"
+        df.write.parquet(new)
+        # One entry of the catalogue changes, in one step.
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+        spark.catalog.refreshTable(name)
+        system, left = _located(spark, old)
+        system.delete(left, True)
+        return
+    df.write.format("parquet").saveAsTable(f"{name}__new_{mark}")
     # The rows are written once; the two tables then change names.
-    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    try:
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
-        raise
-    spark.sql(f"DROP TABLE {old}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old_{mark}")
+    _finish_renames(spark, name)
+
+
+def _finish_renames(spark: SparkSession, name: str) -> None:
+    """Put the new table in the place of one that was moved aside."""
+    if spark.catalog.tableExists(name):
+        return
+    *space, short = name.split(".")
+    listed = spark.sql("SHOW TABLES" + (f" IN {'.'.join(space)}" if space else "")).collect()
+    names = {r["tableName"] for r in listed if not r["isTemporary"]}
+    for mark in (n.removeprefix(f"{short}__old_") for n in names if n.startswith(f"{short}__old_")):
+        full = ".".join([*space, short])
+        # The new table was whole before the old one was moved.
+        if f"{short}__new_{mark}" in names:
+            spark.sql(f"ALTER TABLE {full}__new_{mark} RENAME TO {full}")
+            spark.sql(f"DROP TABLE {full}__old_{mark}")
+            return
 
 
 def create_if_absent(spark: SparkSession, name: str, schema: str) -> bool:
     """Create an empty table unless it exists; tells whether it did create one."""
     if is_path(name):
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        if _folder(spark, name) is not None:
             return False
-        spark.createDataFrame([], schema).write.parquet(name)
+        # Left without a table by a write that died, the folder may exist.
+        spark.createDataFrame([], schema).write.mode("append").parquet(name)
         return True
+    _finish_renames(spark, name)
     if spark.catalog.tableExists(name):
         return False
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet")
@@ -124,7 +196,7 @@ def create_if_absent(spark: SparkSession, name: str, schema: str) -> bool:
 def append_rows(df: DataFrame, name: str) -> None:
     """Append all rows in one write."""
     if is_path(name):
-        df.write.mode("append").parquet(name)
+        df.write.mode("append").parquet(_folder(df.sparkSession, name) or name)
     else:
         df.write.format("parquet").mode("append").saveAsTable(name)
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +33,78 @@ def test_replace_reads_itself(spark, tmp_path):
     S.write_table(S.read_table(spark, path).withColumn("n", F.col("n") + 10), path, "n string")
     assert sorted(r.n for r in S.read_table(spark, path).collect()) == ["10", "11", "12", "13", "14"]
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert sorted(p.name for p in (tmp_path / "t" / "_versions").iterdir() if p.name[0] != ".") == ["ok2", "v2"]
+    S.append_rows(spark.createDataFrame([("9",)], "n string"), path)
+    assert S.read_table(spark, path).count() == 6
+
+
+@pytest.mark.parametrize("plain", [True, False])
+@pytest.mark.parametrize("step", ["write", "_complete", "_clear"])
+def test_a_replacement_that_dies_leaves_a_whole_table(spark, tmp_path, monkeypatch, step, plain):
+    path = str(tmp_path / "t")
+    old, new = spark.range(5).toDF("n"), spark.range(7).toDF("n")
+    if plain:
+        old.write.parquet(path)
+    else:
+        S.write_table(old, path)
+
+    def die(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        if step == "write":
+            new = new.withColumn("n", F.when(F.col("n") == 6, F.raise_error(F.lit("lost"))).otherwise(F.col("n")))
+        else:
+            broken.setattr(S, step, die)
+        with pytest.raises(Exception, match="lost"):
+            S.write_table(new, path)
+    assert S.read_table(spark, path).count() == (7 if step == "_clear" else 5)
+    assert not S.create_if_absent(spark, path, "n long")
+    S.write_table(spark.range(3).toDF("n"), path)
+    assert S.read_table(spark, path).count() == 3
+    assert [p.name for p in (tmp_path / "t").iterdir() if p.name[0] != "."] == ["_versions"]
+    assert len([p for p in (tmp_path / "t" / "_versions").iterdir() if p.name[0] != "."]) == 2
+
+
+def test_the_first_write_that_dies_leaves_no_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    with monkeypatch.context() as broken:
+        broken.setattr(S, "_complete", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            S.write_table(spark.range(5).toDF("n"), path)
+    assert S.create_if_absent(spark, path, "n long")
+    S.append_rows(spark.range(2).toDF("n"), path)
+    assert S.read_table(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("step", ["SET LOCATION", "RENAME TO shelfwise_swap__old", "RENAME TO shelfwise_swap$"])
+def test_a_catalogue_replacement_that_dies(spark, monkeypatch, step):
+    name = "shelfwise_swap"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    changed = "RENAME" in step
+    run = type(spark).sql
+
+    def die(self, query, *args, **kwargs):
+        if re.search(step, query):
+            raise OSError("lost")
+        return run(self, query, *args, **kwargs)
+
+    try:
+        S.write_table(spark.range(5).toDF("n"), name)
+        new = spark.range(7).toDF("n").withColumn("more", F.lit(1)) if changed else spark.range(7).toDF("n")
+        with monkeypatch.context() as broken:
+            broken.setattr(type(spark), "sql", die)
+            with pytest.raises(OSError):
+                S.write_table(new, name)
+        # Between the two renames the new table is whole, and the next read puts it in place.
+        assert S.read_table(spark, name).count() == (7 if step.endswith("$") else 5)
+        S.write_table(S.read_table(spark, name).filter("n > 2").select("n"), name)
+        S.append_rows(spark.range(1).toDF("n"), name)
+        assert S.read_table(spark, name).count() == (5 if step.endswith("$") else 3)
+    finally:
+        for line in spark.sql("SHOW TABLES").collect():
+            if line["tableName"].startswith(name):
+                spark.sql(f"DROP TABLE {line['tableName']}")
 
 
 def test_catalogue_tables(spark):
