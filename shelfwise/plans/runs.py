@@ -13,7 +13,7 @@ from shelfwise.operators.materialise import run_folder, settle
 from shelfwise.operators.triggers import (
     PARAMETER_LOG, TRIGGER_LOG, check_parameters, fan_out, new_runs, parameter_log, trigger_log,
 )
-from shelfwise.sources.tables import append_rows, create_if_absent, read_table
+from shelfwise.sources.runlog import append_log, log_of, open_log
 
 
 @dataclass(frozen=True)
@@ -41,13 +41,15 @@ def run_triggers(runs: DataFrame, parameter_table: str, trigger_table: str, trig
                  tuning: JoinTuning = DEFAULT_TUNING) -> None:
     """One round: create the logs if absent, append what is new. A round repeated after a crash adds nothing twice."""
     spark = runs.sparkSession
-    create_if_absent(spark, parameter_table, PARAMETER_LOG)
-    create_if_absent(spark, trigger_table, TRIGGER_LOG)
-    seen = read_table(spark, parameter_table).select("id")
+    open_log(spark, parameter_table, PARAMETER_LOG)
+    open_log(spark, trigger_table, TRIGGER_LOG)
     with run_folder(spark):
-        lines, requests = run_log_lines(runs, seen, triggers, stamp, tuning)
+        # Both logs are partitioned by run id, so a round reads only the buckets of its own ids.
+        landed = settle(runs, "landed-runs").frame
+        seen = log_of(landed.select("id"), parameter_table, PARAMETER_LOG).select("id")
+        lines, requests = run_log_lines(landed, seen, triggers, stamp, tuning)
         # Requests first, so that a crash in between loses none. The round that follows finds their runs unseen and
         # asks again; requests whose job the log already holds are not appended a second time.
-        asked = read_table(spark, trigger_table).select("trigger_job_id")
-        append_rows(new_runs(requests, asked, "trigger_job_id", tuning), trigger_table)
-        append_rows(lines, parameter_table)
+        asked = log_of(landed.select("id"), trigger_table, TRIGGER_LOG).select("trigger_job_id")
+        append_log(new_runs(requests, asked, "trigger_job_id", tuning), trigger_table)
+        append_log(lines, parameter_table)

@@ -1,6 +1,6 @@
 """Read and write tables, CSV, JSON lines and text.
 
-A table under a path is a plain parquet folder until it is first replaced. From then on each state of it is a folder
+A table under a path is a plain parquet folder, moved into place whole, until it is first replaced. From then on each state of it is a folder
 ``_versions/v<n>``, and an empty file ``_versions/ok<n>``, which appears in one step, says that it is complete: the
 highest one is the table. A write that dies at any point leaves the state before it; the next one clears what is left.
 There is no moment without a table. One writer at a time; read and append by the functions here.
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +26,14 @@ def is_path(name: str) -> bool:
     return "/" in name
 
 
-def _located(spark: SparkSession, name: str):
+def located(spark: SparkSession, name: str):
     """The file system and path object of a name."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    system, path = _located(spark, folder)
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    system, path = located(spark, folder)
     return [line.getPath().getName() for line in system.listStatus(path)] if system.exists(path) else []
 
 
@@ -41,13 +41,13 @@ def _numbers(names: Sequence[str], prefix: str) -> list[int]:
     return [int(m.group(1)) for m in (re.fullmatch(prefix + r"(\d+)", n) for n in names) if m]
 
 
-def _folder(spark: SparkSession, path: str) -> str | None:
+def folder_of(spark: SparkSession, path: str) -> str | None:
     """The folder that holds the table of this path now; None if there is no table."""
     path = path.rstrip("/")
-    complete = _numbers(_names(spark, f"{path}/_versions"), "ok")
+    complete = _numbers(names_in(spark, f"{path}/_versions"), "ok")
     if complete:
         return f"{path}/_versions/v{max(complete)}"
-    held = _names(spark, path)
+    held = names_in(spark, path)
     return path if "_SUCCESS" in held or any(not n.startswith(("_", ".")) for n in held) else None
 
 
@@ -56,7 +56,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     if not is_path(name):
         _finish_renames(spark, name)
         return spark.table(name)
-    return spark.read.parquet(_folder(spark, name) or name)
+    return spark.read.parquet(folder_of(spark, name) or name)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, keep_corrupt: bool = False) -> DataFrame:
@@ -104,17 +104,27 @@ def write_table(df: DataFrame, name: str, schema: StructType | str | None = None
     if schema is not None:
         df = cast_to(df, schema)
     if is_path(name):
-        _replace_folder(df, name.rstrip("/"))
+        replace_folder(df, name.rstrip("/"))
     else:
         _replace_catalogue_table(df, name)
 
 
-def _replace_folder(df: DataFrame, path: str) -> None:
+def replace_folder(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                   options: Mapping[str, str] | None = None) -> None:
+    """Replace the table under this path in one step."""
     spark = df.sparkSession
+    writer = df.write.options(**(options or {})).partitionBy(*partition_by)
+    system, place = located(spark, path)
+    if not system.exists(place):
+        staging = f"{path}__new_{uuid.uuid4().hex}"
+        writer.parquet(staging)
+        if not system.rename(located(spark, staging)[1], place):
+            raise OSError(f"cannot move {staging} into place")
+        return
     versions = f"{path}/_versions"
-    held = _names(spark, versions)
+    held = names_in(spark, versions)
     number = max([0, *_numbers(held, "v"), *_numbers(held, "ok")]) + 1
-    df.write.parquet(f"{versions}/v{number}")
+    writer.parquet(f"{versions}/v{number}")
     _complete(spark, versions, number)
     _clear(spark, path, number)
     spark.catalog.refreshByPath(path)
@@ -122,7 +132,7 @@ def _replace_folder(df: DataFrame, path: str) -> None:
 
 def _complete(spark: SparkSession, versions: str, number: int) -> None:
     """Make this version the table. A second writer of the same version fails here."""
-    system, mark = _located(spark, f"{versions}/ok{number}")
+    system, mark = located(spark, f"{versions}/ok{number}")
     if not system.createNewFile(mark):
         raise OSError(f"{versions} is written by someone else")
 
@@ -130,9 +140,9 @@ def _complete(spark: SparkSession, versions: str, number: int) -> None:
 def _clear(spark: SparkSession, path: str, number: int) -> None:
     """Delete all that is not this version: states before it, and parts of writes that died."""
     for folder, kept in ((f"{path}/_versions", {f"v{number}", f"ok{number}"}), (path, {"_versions"})):
-        for name in _names(spark, folder):
+        for name in names_in(spark, folder):
             if name not in kept:
-                system, left = _located(spark, f"{folder}/{name}")
+                system, left = located(spark, f"{folder}/{name}")
                 system.delete(left, True)
 
 
@@ -153,7 +163,7 @@ def _replace_catalogue_table(df: DataFrame, name: str) -> None:
         # One entry of the catalogue changes, in one step.
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
         spark.catalog.refreshTable(name)
-        system, left = _located(spark, old)
+        system, left = located(spark, old)
         system.delete(left, True)
         return
     df.write.format("parquet").saveAsTable(f"{name}__new_{mark}")
@@ -181,7 +191,7 @@ def _finish_renames(spark: SparkSession, name: str) -> None:
 def create_if_absent(spark: SparkSession, name: str, schema: str) -> bool:
     """Create an empty table unless it exists; tells whether it did create one."""
     if is_path(name):
-        if _folder(spark, name) is not None:
+        if folder_of(spark, name) is not None:
             return False
         # Left without a table by a write that died, the folder may exist.
         spark.createDataFrame([], schema).write.mode("append").parquet(name)
@@ -196,7 +206,7 @@ def create_if_absent(spark: SparkSession, name: str, schema: str) -> bool:
 def append_rows(df: DataFrame, name: str) -> None:
     """Append all rows in one write."""
     if is_path(name):
-        df.write.mode("append").parquet(_folder(df.sparkSession, name) or name)
+        df.write.mode("append").parquet(folder_of(df.sparkSession, name) or name)
     else:
         df.write.format("parquet").mode("append").saveAsTable(name)
 

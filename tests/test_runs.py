@@ -10,6 +10,7 @@ from shelfwise.operators import triggers as T
 from shelfwise.operators.joins import JoinTuning
 from shelfwise.plans import runs as plan
 from shelfwise.plans.runs import Triggers, run_triggers
+from shelfwise.sources import runlog
 from shelfwise.sources.tables import read_table
 from shelfwise.streaming import runs as streaming
 from shelfwise.streaming.runs import watch_runs
@@ -79,13 +80,13 @@ def test_a_round_after_a_crash_adds_nothing_twice(spark, runs, tmp_path, monkeyp
     logs = str(tmp_path / "parameters"), str(tmp_path / "triggers")
     run_triggers(runs.filter("id = 'r1'"), *logs, TRIGGERS, stamp())
 
-    def crash(rows, table, append=plan.append_rows):
+    def crash(rows, table, append=plan.append_log):
         if table == logs[0]:
             raise OSError("lost between the two logs")
         append(rows, table)
 
     with monkeypatch.context() as broken:
-        broken.setattr(plan, "append_rows", crash)
+        broken.setattr(plan, "append_log", crash)
         with pytest.raises(OSError):
             run_triggers(runs, *logs, TRIGGERS, stamp())
     assert sorted(r.id for r in read_table(spark, logs[0]).collect()) == ["r1"]
@@ -119,6 +120,56 @@ def test_stream_sees_each_run_once_and_replays_safely(spark, runs, tmp_path):
     assert spark.read.parquet(requests).count() == 4
 
 
+def _files_read(frame):
+    """Files that the scan of this frame read."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.head().metrics().apply("numFiles").value()
+
+
+def test_a_round_reads_only_its_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runlog, "LOG_BUCKETS", 24)
+    path, schema = str(tmp_path / "log"), "id string, n long"
+    runlog.open_log(spark, path, schema)
+    assert runlog.read_log(spark, path, schema).count() == 0
+    lines = spark.range(4000).selectExpr("cast(id as string) as id", "id as n")
+    for part in range(2):
+        runlog.append_log(lines.filter(F.col("n") % 2 == part), path)
+
+    def asked(*ids):
+        return runlog.log_of(spark.createDataFrame([(i,) for i in ids], "id string"), path, schema)
+
+    whole = _files_read(runlog.read_log(spark, path, schema))
+    assert whole >= 48
+    assert _files_read(asked("7")) <= 2 and [r.n for r in asked("7").collect()] == [7]
+    twelve = asked(*map(str, range(12)))
+    assert _files_read(twelve) <= 24 < whole
+    assert {str(i) for i in range(12)} <= {r.id for r in twelve.collect()}
+    assert asked("unknown").count() == asked(None).count() == asked().count() == 0
+    runlog.compact_log(spark, path, schema)
+    assert _files_read(runlog.read_log(spark, path, schema)) <= runlog.LOG_BUCKETS
+    assert _files_read(asked("7")) == 1 and [r.n for r in asked("7").collect()] == [7]
+    runlog.append_log(lines.limit(1).withColumn("id", F.lit("")), path)
+    assert runlog.read_log(spark, path, schema).count() == 4001
+    assert asked(None).count() == 1
+
+
+def test_logs_in_the_catalogue_and_logs_without_buckets(spark, runs, tmp_path):
+    names = "shelfwise_parameters", "shelfwise_triggers"
+    plain = str(tmp_path / "parameters"), str(tmp_path / "triggers")
+    for name, schema in zip(plain, (T.PARAMETER_LOG, T.TRIGGER_LOG)):
+        spark.createDataFrame([], schema).write.parquet(name)
+    try:
+        for logs in (names, plain):
+            run_triggers(runs.filter("id < 'r3'"), *logs, TRIGGERS, stamp())
+            run_triggers(runs, *logs, TRIGGERS, stamp())
+            assert sorted(r.id for r in read_table(spark, logs[0]).collect()) == ["r1", "r2", "r3", "r4"]
+            assert read_table(spark, logs[1]).count() == 4
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _landing(spark, tmp_path, **options):
     """A folder to land lines in, and a function that runs the stream on what landed and returns the logged ids."""
     landing, log, requests, checkpoint = (str(tmp_path / n) for n in ("landing", "log", "requests", "checkpoint"))
