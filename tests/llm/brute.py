@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -132,3 +133,47 @@ def repeats(texts, length):
                 gone.update(range(i, i + length))
         out.append((w, gone))
     return out
+
+
+# ---- the battery of randomness tests, in plain Python
+
+COMMON, RARE = "etaoinsrhl", "bcdfgjkmpquvwxyz"
+LETTER_CLASSES = [COMMON, RARE, COMMON.upper(), RARE.upper(), "0123456789", "+/-_"]
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = [DIGITS + "abcdef", DIGITS + "ABCDEF", UPPER + "234567", LOWER + DIGITS, UPPER + LOWER + DIGITS,
+             UPPER + LOWER + DIGITS + "+/-_"]
+
+
+def normal_tail(z):
+    return 1 / (1 + math.exp(max(-80.0, min(80.0, z * 1.5976 + z ** 3 * 0.07056))))
+
+
+def chi_tail(x, freedom):
+    spread = 2 / (freedom * 9)
+    return normal_tail((max(x, 1e-9) / freedom) ** (1 / 3) / math.sqrt(spread) - (1 - spread) / math.sqrt(spread))
+
+
+def randomness(token):
+    """The combined p-value of chi-squared (characters, classes), runs and serial correlation."""
+    body = token.replace("=", "")
+    letters = next(a for a in ALPHABETS if set(body) <= set(a))
+    x, size, n = [letters.index(ch) for ch in body], len(letters), len(body)
+    if n < 20:
+        return 0.0
+    even = chi_tail(sum(c * c for c in Counter(x).values()) * size / n - n, size - 1)
+    classes = [(sum(ch in c for ch in body), sum(ch in c for ch in letters)) for c in LETTER_CLASSES]
+    held = [(seen, of) for seen, of in classes if of]
+    by_class = chi_tail(sum(seen * seen * size / of for seen, of in held) / n - n, len(held) - 1)
+    high = [2 * v >= size for v in x]
+    n_high, n_low = sum(high), n - sum(high)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    product = 2 * n_high * n_low
+    variance = max(product * (product - n) / (n * n * (n - 1)), 1e-9)
+    runs_p = 2 ** (1 - n) if not n_high or not n_low else 2 * normal_tail(
+        abs(runs - product / n - 1) / math.sqrt(variance))
+    mean = sum(x) / n
+    own = sum((v - mean) ** 2 for v in x)
+    serial = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / own if own else 1.0
+    serial_p = 2 * normal_tail(abs(serial) * math.sqrt(n))
+    fisher = -2 * sum(math.log(max(p, 1e-40)) for p in (even, by_class, runs_p, serial_p))
+    return max(chi_tail(fisher, 8), 1e-40)
