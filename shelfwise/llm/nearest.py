@@ -15,7 +15,7 @@ and a block meets its queries in groups of bounded size, so no task or pair list
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part; equal vectors tie and the smaller id is nearer; with fewer candidates than neighbours all are returned; repeated
-rows are candidates of their own; an empty table gives no rows; further columns are ignored.
+rows are queries and candidates of their own (a number written with each row tells them apart); an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ CELL_ROWS = 16
 BLOCK_ROWS = 4096
 QUERY_BLOCK = 2048
 ROUNDS = 12
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, vec_id long, score double"
 
 
 @dataclass(frozen=True)
@@ -122,16 +122,17 @@ def _filed(books: Codebooks):
             lists = batch.column("v")
             flat = lists.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             yield pa.record_batch(
-                [batch.column("id"), pa.array(books.cells(flat), pa.int64()),
-                 pa.array([row.tobytes() for row in flat], pa.binary())], ["id", "cell", "v"])
+                [batch.column("row"), batch.column("id"), pa.array(books.cells(flat), pa.int64()),
+                 pa.array([row.tobytes() for row in flat], pa.binary())], ["row", "id", "cell", "v"])
 
     return run
 
 
-def nearest_of(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[list, list]:
+def nearest_of(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, own: int,
+               k: int) -> tuple[list, list]:
     """The k nearest rows but the query's own: ids and distances, ties to the smaller id."""
     gaps = np.sqrt(((vectors - query) ** 2).sum(1))
-    gaps = np.where(ids == own, np.inf, gaps)
+    gaps = np.where(rows == own, np.inf, gaps)
     if len(gaps) > k:
         near = np.flatnonzero(gaps <= np.partition(gaps, k - 1)[k - 1])
     else:
@@ -142,25 +143,27 @@ def nearest_of(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, own: int
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    first = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    first = Window.partitionBy("query_row").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
 
 
-def _brute(queries: Sequence[tuple[int, bytes]], k: int):
+def _brute(queries: Sequence[tuple[int, int, bytes]], k: int):
     """Partial results of a few queries over the rows of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, vectors = batch.column("id").to_numpy(), _matrix(batch.column("v").to_pylist())
-            q, v, s = [], [], []
-            for own, query in queries:
-                near, gaps = nearest_of(ids, vectors, np.frombuffer(query, np.float64), own, k)
-                q += [own] * len(near)
+            rows, ids = batch.column("row").to_numpy(), batch.column("id").to_numpy()
+            vectors = _matrix(batch.column("v").to_pylist())
+            r, q, v, s = [], [], [], []
+            for own, key, query in queries:
+                near, gaps = nearest_of(rows, ids, vectors, np.frombuffer(query, np.float64), own, k)
+                r += [own] * len(near)
+                q += [key] * len(near)
                 v += near
                 s += gaps
-            yield pa.record_batch([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
-                                  ["query_id", "vec_id", "score"])
+            yield pa.record_batch([pa.array(r, pa.int64()), pa.array(q, pa.int64()), pa.array(v, pa.int64()),
+                                   pa.array(s, pa.float64())], ["query_row", "query_id", "vec_id", "score"])
 
     return run
 
@@ -169,7 +172,8 @@ class Index:
     """All usable vectors, filed and written; ``search`` and ``recall`` read them."""
 
     def __init__(self, vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", fit_rows: int = FIT_ROWS):
-        rows = settle(usable(vectors, key, vector), "vectors").frame
+        # Numbered and written, so the numbers stay as they are whatever is computed again.
+        rows = settle(usable(vectors, key, vector).withColumn("row", F.monotonically_increasing_id()), "vectors").frame
         self.n = rows.count()
         if self.n == 0:
             self.filed, self.books, self.counts = rows.limit(0), None, {}
@@ -183,7 +187,7 @@ class Index:
         k = int(max(1, min(MAX_CENTROIDS, len(points), (self.n / CELL_ROWS) ** 0.5)))
         self.books = Codebooks(_k_means(points[:, :half], k, 1) if half else np.zeros((1, 0)),
                                _k_means(points[:, half:], k, 2))
-        self.filed = settle(rows.mapInArrow(_filed(self.books), "id long, cell long, v binary"), "filed").frame
+        self.filed = settle(rows.mapInArrow(_filed(self.books), "row long, id long, cell long, v binary"), "filed").frame
         # At most MAX_CENTROIDS squared numbers.
         self.counts = {r["cell"]: r["count"] for r in self.filed.groupBy("cell").count().collect()}
 
@@ -203,22 +207,25 @@ class Index:
         return place, block + 1
 
     def brute(self, queries: DataFrame, k: int = 10) -> DataFrame:
-        """Exact neighbours of a bounded number of queries (id, v as bytes), which go to the driver and all tasks."""
-        few = [(r["id"], bytes(r["v"])) for r in queries.select("id", "v").collect()]
+        """Exact neighbours of a bounded number of queries (row, id, v as bytes), which go to the driver and all tasks."""
+        few = [(r["row"], r["id"], bytes(r["v"])) for r in queries.select("row", "id", "v").collect()]
         return _best(self.filed.mapInArrow(_brute(few, k), FOUND), k)
 
+    def _checked(self, is_query: Column) -> DataFrame:
+        """The queries in the order in which samples of them are taken."""
+        return self.filed.filter(is_query).orderBy(F.xxhash64(F.lit("check"), "id"), "id", "row")
+
     def depth(self, is_query: Column, k: int = 10, target: float = TARGET_RECALL,
               queries: int = CHECK_QUERIES) -> int:
         """How many vectors the visited cells must hold to find ``target`` of the true neighbours."""
-        checked = self.filed.filter(is_query).orderBy(F.xxhash64(F.lit("check"), "id"), "id").limit(queries)
-        checked = settle(checked, "checked").frame
-        true = self.brute(checked, k).select("query_id", F.col("vec_id").alias("id"))
-        cells = true.join(self.filed.select("id", "cell"), "id").groupBy("query_id").agg(
+        checked = settle(self._checked(is_query).limit(queries), "checked").frame
+        true = self.brute(checked, k).select("query_row", F.col("vec_id").alias("id"))
+        cells = true.join(self.filed.select("id", "cell"), "id").groupBy("query_row").agg(
             F.collect_list("cell").alias("cells")).collect()  # k numbers for each checked query
-        wanted = {r["query_id"]: r["cells"] for r in cells}
+        wanted = {r["query_row"]: r["cells"] for r in cells}
         needed: list[int] = []
         for row in checked.collect():
-            left, seen = list(wanted.get(row["id"], [])), 0
+            left, seen = list(wanted.get(row["row"], [])), 0
             for cell in self.books.walk(np.frombuffer(bytes(row["v"]), np.float64)):
                 if not left:
                     break
@@ -243,8 +250,9 @@ class Index:
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """One row for each block a query visits, with the cells it opens there."""
             for batch in batches:
-                ids, vecs, blocks, cells = [], [], [], []
-                for own, raw in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist()):
+                rows, ids, vecs, blocks, cells = [], [], [], [], []
+                for row, own, raw in zip(batch.column("row").to_pylist(), batch.column("id").to_pylist(),
+                                         batch.column("v").to_pylist()):
                     opened: dict[int, list[int]] = {}
                     seen = 0
                     for cell in books.walk(np.frombuffer(raw, np.float64)):
@@ -255,43 +263,45 @@ class Index:
                             first, pieces = place[cell]
                             for block in range(first, first + pieces):
                                 opened.setdefault(block, []).append(cell)
+                    rows += [row] * len(opened)
                     ids += [own] * len(opened)
                     vecs += [raw] * len(opened)
                     blocks += opened.keys()
                     cells += [np.asarray(c, np.int32).tobytes() for c in opened.values()]
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(vecs, pa.binary()),
-                                       pa.array(blocks, pa.int64()), pa.array(cells, pa.binary())],
-                                      ["id", "v", "block", "cells"])
+                yield pa.record_batch([pa.array(rows, pa.int64()), pa.array(ids, pa.int64()),
+                                       pa.array(vecs, pa.binary()), pa.array(blocks, pa.int64()),
+                                       pa.array(cells, pa.binary())], ["row", "id", "v", "block", "cells"])
 
         def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 at = [place[c] for c in batch.column("cell").to_pylist()]
                 turn = batch.column("turn").to_pylist()
                 blocks = [first + t % pieces for (first, pieces), t in zip(at, turn)]
-                yield pa.record_batch([batch.column("id"), batch.column("cell"), batch.column("v"),
-                                       pa.array(blocks, pa.int64())], ["id", "cell", "v", "block"])
+                yield pa.record_batch([batch.column("row"), batch.column("id"), batch.column("cell"), batch.column("v"),
+                                       pa.array(blocks, pa.int64())], ["row", "id", "cell", "v", "block"])
 
         n_cells = len(books.left) * len(books.right)
 
         def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(left) and len(right):
-                ids, vectors, cells = right["id"].to_numpy(), _matrix(right["v"].tolist()), right["cell"].to_numpy()
-                for own, raw, opened in zip(left["id"], left["v"], left["cells"]):
+                rows, ids, cells = right["row"].to_numpy(), right["id"].to_numpy(), right["cell"].to_numpy()
+                vectors = _matrix(right["v"].tolist())
+                for own, key, raw, opened in zip(left["row"], left["id"], left["v"], left["cells"]):
                     mark = np.zeros(n_cells, bool)
                     mark[np.frombuffer(opened, np.int32)] = True
-                    rows = np.flatnonzero(mark[cells])
-                    near, gaps = nearest_of(ids[rows], vectors[rows], np.frombuffer(raw, np.float64), own, k)
-                    out += [(own, v, s) for v, s in zip(near, gaps)]
-            return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                    met = np.flatnonzero(mark[cells])
+                    near, gaps = nearest_of(rows[met], ids[met], vectors[met], np.frombuffer(raw, np.float64), own, k)
+                    out += [(own, key, v, s) for v, s in zip(near, gaps)]
+            return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"]).astype(
+                {"query_row": "int64", "query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-        group = F.pmod(F.xxhash64(F.lit("group"), "id"), F.lit(groups))
+        group = F.pmod(F.xxhash64(F.lit("group"), "row"), F.lit(groups))
         # Dealt by a hash first: queries lie unevenly in the files, and each costs a walk.
-        routed = queries.repartition(F.xxhash64("id")).mapInArrow(
-            visit, "id long, v binary, block long, cells binary").withColumn("grp", group)
-        turned = self.filed.withColumn("turn", F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(1 << 30)))
-        laid = turned.mapInArrow(lay, "id long, cell long, v binary, block long")
+        routed = queries.repartition(F.xxhash64("row")).mapInArrow(
+            visit, "row long, id long, v binary, block long, cells binary").withColumn("grp", group)
+        turned = self.filed.withColumn("turn", F.pmod(F.xxhash64(F.lit("block"), "row"), F.lit(1 << 30)))
+        laid = turned.mapInArrow(lay, "row long, id long, cell long, v binary, block long")
         if groups == 1:
             laid = laid.withColumn("grp", F.lit(0).cast("long"))
         else:
@@ -302,8 +312,10 @@ class Index:
         return _best(found, k).select("query_id", "rank", "vec_id", "score")
 
     def recall(self, is_query: Column, found: DataFrame, k: int = 10, queries: int = CHECK_QUERIES) -> float:
-        """The share of true neighbours among those found, over a bounded sample of queries not used for the depth."""
-        few = self.filed.filter(is_query).orderBy(F.xxhash64(F.lit("recall"), "id"), "id").limit(queries)
+        """The share of true neighbours among those found, over a bounded sample of queries that ``depth`` did not
+        use; where there are no others, over those."""
+        few = settle(self._checked(is_query).offset(CHECK_QUERIES).limit(queries), "recall").frame
+        few = self._checked(is_query).limit(queries) if few.isEmpty() else few
         true = self.brute(few, k).select("query_id", "vec_id")
         n = true.count()
         return true.join(found.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_semi").count() / max(n, 1)

@@ -6,7 +6,9 @@ one at most). Documents close on the curve are close in every dimension, so a fi
 
 Source and language are quantised by their share of the rows in code point order, so a source with a third of the
 rows takes its own steps and the order of values is kept; the length by its binary logarithm. Within a cell rows are
-ordered by their values and then by a hash of the text, so that equal texts with equal metadata lie side by side.
+ordered by their values and then by a hash of the text. Equal texts stay together: all rows of a group lie where its
+smallest row does (by curve, source, language), so a group is cut only where a run ends within it or it is longer than
+a run.
 
 Defined cases: null texts have no bytes (length 0, checksum of nothing); null sources and languages come last; rows
 that are equal in all columns used may swap places, which changes no result; an empty table gives no rows.
@@ -83,7 +85,10 @@ def _steps(rows: DataFrame, column: str, bits: int) -> DataFrame:
 
 
 def shard(docs: DataFrame, n_shards: int = 24) -> DataFrame:
-    """doc_id, source, lang, size, text_crc32, curve, law, shard, slot and grown_shard of every document."""
+    """doc_id, source, lang, size, text_crc32, curve, law, shard, slot and grown_shard of every document.
+
+    ``curve`` is the place a row is put at: its own, or that of the smallest row with an equal text.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = settle(docs.select(
         "doc_id", "source", "lang",
@@ -95,12 +100,20 @@ def shard(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     placed = attach(placed, _steps(rows, "lang", BITS), {"lang": "of_lang"})
     length = F.least(F.lit((1 << BITS) - 1), F.floor(F.log2(F.col("chars") + 1)).cast("long"))
     curved = placed.withColumn("curve", hilbert_index([F.col("step_source"), F.col("step_lang"), length]))
+    curved = settle(curved.drop("step_source", "step_lang"), "curved").frame
+    # Only texts that occur several times are looked up; the length is that of the text, so it is the group's own.
+    groups = curved.groupBy("hash", "text_crc32", "chars").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("curve", "source", "lang")).alias("first")).filter("n > 1")
+    groups = groups.select(F.col("hash").alias("of_hash"), F.col("text_crc32").alias("of_crc32"),
+                           F.col("chars").alias("of_chars"), "first")
+    together = attach(curved, groups, {"hash": "of_hash", "text_crc32": "of_crc32", "chars": "of_chars"}).withColumn(
+        "at", F.coalesce("first", F.struct("curve", "source", "lang"))).drop("first")
     ordered = sums_before(
-        curved.drop("step_source", "step_lang").withColumn("one", F.lit(1).cast("long")),
-        ["curve", "source", "lang", "chars", "hash", "doc_id"], "one", "place")
+        together.withColumn("one", F.lit(1).cast("long")),
+        ["at", "chars", "hash", "source", "lang", "doc_id"], "one", "place")
     total = rows.count()
     return ordered.select(
-        "doc_id", "source", "lang", "size", "text_crc32", "curve", F.lit("rows").alias("law"),
+        "doc_id", "source", "lang", "size", "text_crc32", F.col("at.curve").alias("curve"), F.lit("rows").alias("law"),
         *_runs("place", total, n_shards), F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -149,6 +149,34 @@ def test_shards(spark, odd, which):
     assert shards.shard(docs.limit(0)).count() == 0
 
 
+def test_equal_texts_lie_together(spark):
+    """A group of equal texts takes neighbouring places, whatever its metadata; only the end of a run cuts it."""
+    rows = [(i, f"text {i % 60}" if i % 3 else f"own text {i}", f"s{i % 7}", [None, "en", "de"][i % 5 % 3])
+            for i in range(900)] + [(2000 + i, None, "s1", "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    text = {r[0]: r[1] for r in rows}
+    order = [r["doc_id"] for r in sorted(shards.shard(docs).collect(), key=lambda r: (r["shard"], r["slot"]))]
+    places = defaultdict(list)
+    for at, doc_id in enumerate(order):
+        places[text[doc_id]].append(at)
+    assert all(max(v) - min(v) == len(v) - 1 for v in places.values())
+
+
+def test_written_shards_prune(spark, tmp_path):
+    """All rows are written once, in the folder of their shard, and a value of the metadata lies in few of them."""
+    rows = [(i, f"text {i}", f"s{i % 8}", ["en", "de", "fr", "es"][i // 8 % 4]) for i in range(960)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    placed = shards.shard(docs)
+    shards.write_shards(spark, docs, placed, str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r["doc_id"] for r in written.collect()) == list(range(960))
+    expected = {r["doc_id"]: r["shard"] for r in placed.collect()}
+    assert {r["doc_id"]: r["shard_no"] for r in written.collect()} == expected
+    for column in ("source", "lang"):
+        held = written.groupBy(column).agg(secret_scan.F.countDistinct("shard_no").alias("n")).collect()
+        assert sum(r["n"] for r in held) / len(held) <= 12
+
+
 def test_hilbert_is_a_walk(spark):
     """All cells of a cube in the order of the index: every step goes to a neighbour."""
     from pyspark.sql import functions as F

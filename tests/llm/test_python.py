@@ -250,6 +250,22 @@ def test_nearest_odd_rows_ties_and_cuts(spark, monkeypatch):
     assert nearest.Index(few.limit(0)).search(F.col("id") == 0).count() == 0
 
 
+def test_repeated_queries_have_lists_of_their_own(spark):
+    """Two rows with one id are two queries, each with all its neighbours; a twin is a candidate like any other."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(1, 200)]
+    twins = [(200, rng.normal(size=4).tolist()), (200, rng.normal(size=4).tolist()), (300, rows[0][1]), (300, rows[0][1])]
+    table = spark.createDataFrame(rows + twins, "vec_id long, embedding array<double>")
+    found = nearest.Index(table).search(F.col("id") % 100 == 0, k=10, depth=1000).collect()
+    every = [(i, np.array(v)) for i, v in rows + twins]
+    expected = []
+    for at, (key, v) in enumerate(every):
+        if key % 100 == 0:
+            near = sorted((float(np.sqrt(((w - v) ** 2).sum())), i) for j, (i, w) in enumerate(every) if j != at)[:10]
+            expected += [(key, rank, i, round(s, 9)) for rank, (s, i) in enumerate(near, 1)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in found) == sorted(expected)
+
+
 def test_walk_is_in_order():
     rng = np.random.default_rng(1)
     books = nearest.Codebooks(rng.normal(size=(7, 2)), rng.normal(size=(5, 3)))
