@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.constants import GLOBAL_LEVELS, LOCAL_LEVELS
@@ -52,6 +52,20 @@ def hierarchy_warnings(df: DataFrame, pairs: Sequence[tuple[str, str]] | None =
         F.array_sort(F.collect_list("parent_value")).alias("parents"))
 
 
+def hierarchy_summary(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None, listed: int = 10) -> DataFrame:
+    """The report in bounded rows: (child_level, parent_level, child_value, n_parents, first_parents).
+
+    ``first_parents`` holds the first ``listed`` parents in order, ``n_parents`` counts all of them; the rest stay in
+    ``hierarchy_conflicts``. Each task keeps its first ones of a child before anything is shuffled, so a child with a
+    million parents costs ``listed`` rows a task.
+    """
+    conflicts = hierarchy_conflicts(df, pairs)
+    first = Window.partitionBy(*KEY).orderBy("parent_value")
+    kept = conflicts.withColumn("__at", F.row_number().over(first)).filter(F.col("__at") <= listed)
+    return kept.groupBy(*KEY).agg(
+        F.max("parents").alias("n_parents"), F.array_sort(F.collect_list("parent_value")).alias("first_parents"))
+
+
 def inconsistent_children(df: DataFrame, up: str, down: str) -> DataFrame:
     """(child, Corresponding_parent): one level pair, columns named after the levels."""
     return hierarchy_warnings(df, [(up, down)]).select(

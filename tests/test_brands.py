@@ -4,7 +4,7 @@ import pytest
 
 from shelfwise.operators import brands as B
 from shelfwise.operators.clean import left_over_missing_brands, null_brands, repair_cells, repair_cells_from
-from shelfwise.operators.hierarchy import hierarchy_warnings, inconsistent_children
+from shelfwise.operators.hierarchy import hierarchy_summary, hierarchy_warnings, inconsistent_children
 from shelfwise.operators.joins import JoinTuning
 from shelfwise.operators.words import word_frequency
 from shelfwise.sources.tables import concat_sources
@@ -112,3 +112,15 @@ def test_repair_from_a_table(spark, tuning):
     assert found == sorted([(1, "Misión", "Acción"), (2, None, "Acción"), (3, "whole", "unknown?"), (3, "Misión", "")], key=repr)
     only = repair_cells_from(df.withColumnRenamed("b.c", "b"), known, columns=["a"], tuning=tuning)
     assert only.filter("b = 'Acción'").count() == 0 and only.columns == ["id", "a", "b"]
+
+
+def test_summary_is_bounded(spark):
+    """A child with very many parents lists the first few with the full count; the limit is set before the shuffle."""
+    df = spark.range(50_000).selectExpr("'all' as child", "concat('p', lpad(id, 6, '0')) as parent").unionByName(
+        spark.createDataFrame([("one", "p"), ("two", "q"), ("two", "p"), ("two", None), (None, "a"), (None, "b")],
+                              "child string, parent string"))
+    found = hierarchy_summary(df, [("parent", "child")], listed=3)
+    rows = {r["child_value"]: (r["n_parents"], r["first_parents"]) for r in found.collect()}
+    assert rows == {"all": (50_000, ["p000000", "p000001", "p000002"]), "two": (2, ["p", "q"]), None: (2, ["a", "b"])}
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+    assert hierarchy_summary(df.limit(0), [("parent", "child")]).count() == 0

@@ -106,6 +106,8 @@ QUERIES = {
         "Corresponding_local_hierarchy_level2_desc"),
     "hierarchy_geography": _geography,
     "hierarchy_conflicts": lambda s, d: H.hierarchy_conflicts(cleaned(s, d)),
+    "hierarchy_summary": lambda s, d: _texts(H.hierarchy_summary(
+        table(s, d, "customer"), [("c_name", "c_mktsegment")], listed=5), "first_parents"),
 }
 
 # ---- oracles ----------------------------------------------------------------------------------------------------
@@ -200,4 +202,10 @@ ORACLES = {
     "hierarchy_geography": "with rows_ as (select * from customer join nation on c_nationkey = n_nationkey join region "
                            "on n_regionkey = r_regionkey) "
                            + _warnings([("r_name", "n_name"), ("n_name", "c_mktsegment")], "rows_"),
+    # Each segment has a good part of all customers above it.
+    "hierarchy_summary": "select 'c_mktsegment' as child_level, 'c_name' as parent_level, child_value, n_parents, "
+                         "string_agg(parent, '|' order by parent) as first_parents from (select *, row_number() over "
+                         "(partition by child_value order by parent) as place, count(*) over (partition by child_value) "
+                         "as n_parents from (select distinct c_mktsegment as child_value, c_name as parent from "
+                         "customer where c_name is not null)) where place <= 5 and n_parents > 1 group by all",
 }
