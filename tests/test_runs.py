@@ -222,6 +222,22 @@ def _crash_after_requests(lines_of):
     return broken
 
 
+def test_stream_calls_no_python_per_id(spark, tmp_path):
+    rows = spark.range(30000).selectExpr("concat('r', id % 20000) as id", "id as n")
+    rows.write.parquet(str(tmp_path / "in" / "0"))
+    found = []
+    for part in range(2):
+        if part:
+            spark.range(10000, 25000).selectExpr("concat('r', id) as id", "-id as n").write.parquet(str(tmp_path / "in" / "1"))
+        stream = streaming.first_sights(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in" / "*")))
+        assert "InPandas" not in stream._jdf.queryExecution().analyzed().toString()
+        stream.writeStream.outputMode("update").foreachBatch(lambda batch, _: found.append(
+            batch.agg(F.count("id"), F.countDistinct("id"), F.min("n"), F.max("n")).first())).option(
+            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [tuple(f)[:2] for f in found] == [(20000, 20000), (5000, 5000)]
+    assert tuple(found[1])[2:] == (-24999, -20000)
+
+
 def test_stream_forgets_in_time(spark, tmp_path):
     land, watch = _landing(spark, tmp_path, remember_ms=1)
     land(RUNS[:1])
