@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shelfwise.operators.labels import level_target
 from shelfwise.operators.materialise import settle
@@ -27,6 +27,8 @@ BEAM = 8
 # Label paths whose tree is broadcast at once: at most eight bytes for each path and bit.
 BLOCK_PATHS = 100_000
 SLICE_ROWS = 512
+# The end of a fit and the steps it keeps, as LogisticRegression has them.
+TOLERANCE, MEMORY, VALUES = 1e-6, 10, 20
 # The perceptron takes no weights, so rows are repeated, each class up to about so many times its share.
 FINEST_REPEAT = 8
 
@@ -193,11 +195,9 @@ def _follow(tree, weights, size: int, features: str, names: Sequence[str]):
     return run
 
 
-def _bit_rows(bits: Sequence[int], size: int, features: str):
-    """Mapper: one line for each bit of each row. The vectors of different bits share no place, so one logistic model
-    of all lines holds a model for each bit."""
-    n = sum(bits)
-    width = size + n + 1
+def _packed(bits: Sequence[int], features: str):
+    """Mapper: slices of rows as arrays, each with the features of its rows once, whatever the number of bits: places
+    and values of the vectors, the row of each value, the bits of the labels and which of them are known."""
     level = np.repeat(np.arange(len(bits)), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,28 +205,119 @@ def _bit_rows(bits: Sequence[int], size: int, features: str):
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 targets = np.array([part.column(f"__t{j}").fill_null(-1).to_numpy() for j in range(len(bits))]).T
-                coded = _path_bits(np.maximum(targets, 0), bits)
-                labels, places, values = [], [], []
-                for (place, value), row, known in zip(_sparse_rows(part.column(features)), coded, targets[:, level] >= 0):
-                    ones = np.flatnonzero(row * known)
-                    for i in np.flatnonzero(known):
-                        past = ones[ones < i]
-                        labels.append(float(row[i]))
-                        places.append(i * width + np.concatenate([place, size + past, [width - 1]]))
-                        values.append(np.concatenate([value, np.ones(len(past) + 1)]))
-                if not labels:
-                    continue
-                ends = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
-                vector = pa.StructArray.from_arrays([
-                    pa.array(np.zeros(len(labels), np.int8)), pa.array(np.full(len(labels), n * width, np.int32)),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places).astype(np.int32))),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values)))],
-                    ["type", "size", "indices", "values"])
-                yield pa.record_batch([pa.array(labels), vector], ["__y", "__x"])
+                places, values = zip(*_sparse_rows(part.column(features)))
+                used, column = np.unique(np.concatenate(places), return_inverse=True)
+                row = np.repeat(np.arange(len(places)), [len(place) for place in places])
+                known = targets[:, level] >= 0
+                coded = (_path_bits(np.maximum(targets, 0), bits) * known).astype(bool)
+                slices = pickle.dumps((used, row.astype(np.int32), column.astype(np.int32), np.concatenate(values), coded, known))
+                yield pa.record_batch([pa.array([slices], pa.binary())], ["slice"])
 
     return run
 
 
+def _matrices(packed: bytes) -> tuple[np.ndarray, ...]:
+    """Places in use, the features on these places, the bits and which are known, all but the first as numbers."""
+    used, row, column, values, coded, known = pickle.loads(packed)
+    x = np.zeros((len(coded), len(used)))
+    x[row, column] = values
+    return used, x, coded.astype(float), known.astype(float)
+
+
+def _moments(width: int, size: int):
+    """Sums and sums of squares of each input of each bit, over the rows that know the bit."""
+    def run(slices: Iterator[bytes]) -> Iterator[np.ndarray]:
+        total = None
+        for packed in slices:
+            used, x, coded, known = _matrices(packed)
+            if total is None:
+                total = np.zeros((2, known.shape[1], width))
+            total[0][:, used] += known.T @ x
+            total[1][:, used] += known.T @ (x * x)
+            earlier = np.tril(known.T @ coded, -1)
+            for sums in total:
+                sums[:, size:-1] += earlier
+                sums[:, -1] += known.sum(axis=0)
+        if total is not None:
+            yield total
+
+    return run
+
+
+def _loss(weights, size: int):
+    """Sum of the logistic losses of all bits and its gradient, the loss in the last place."""
+    def run(slices: Iterator[bytes]) -> Iterator[np.ndarray]:
+        w, total = weights.value, None
+        earlier = np.tril(w[:, size:-1], -1)
+        for packed in slices:
+            used, x, coded, known = _matrices(packed)
+            if total is None:
+                total = np.zeros(w.size + 1)
+            gradient = total[:-1].reshape(w.shape)
+            margin = x @ w[:, used].T + coded @ earlier.T + w[:, -1]
+            soft = np.logaddexp(0, margin)
+            total[-1] += (known * (soft - coded * margin)).sum()
+            apart = known * (np.exp(margin - soft) - coded)
+            gradient[:, used] += apart.T @ x
+            gradient[:, size:-1] += np.tril(apart.T @ coded, -1)
+            gradient[:, -1] += apart.sum(axis=0)
+        if total is not None:
+            yield total
+
+    return run
+
+
+def _minimum(of: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, epochs: int) -> np.ndarray:
+    """L-BFGS for a convex function, ended as ``LogisticRegression`` ends it."""
+    at, (value, slope), steps = start, of(start), []
+    first, values = value, [value]
+    for _ in range(epochs):
+        if np.linalg.norm(slope) <= max(TOLERANCE * abs(value), 1e-8):
+            break
+        way, shares = slope.copy(), []
+        for moved, turned, inverse in reversed(steps):
+            shares.append(inverse * (moved @ way))
+            way -= shares[-1] * turned
+        way *= 1 / np.linalg.norm(slope) if not steps else 1 / (steps[-1][2] * (steps[-1][1] @ steps[-1][1]))
+        for (moved, turned, inverse), share in zip(steps, reversed(shares)):
+            way += (share - inverse * (turned @ way)) * moved
+        length, gain = 1.0, slope @ way
+        new, (new_value, new_slope) = at - way, of(at - way)
+        while new_value > value - 1e-4 * length * gain and length > 1e-6:
+            length /= 2
+            new = at - length * way
+            new_value, new_slope = of(new)
+        if new_value >= value:
+            break
+        moved, turned = new - at, new_slope - slope
+        if moved @ turned > 0:
+            steps = [*steps[1 - MEMORY:], (moved, turned, 1 / (moved @ turned))]
+        at, value, slope = new, new_value, new_slope
+        if max(values) - value <= TOLERANCE * first:
+            break
+        values = [*values, value][-VALUES:]
+    return at
+
+
+def _fit_bits(packed: RDD, bits: int, size: int, epochs: int, penalty: float = 1e-4) -> np.ndarray:
+    """The weights of all bits, a line per bit: what one ``LogisticRegression`` over a line for each bit of each row
+    gives (places of its own for each bit, no intercept, inputs scaled by their deviation over all lines), without
+    such lines. A pass sums one gradient a task, task by task in a tree."""
+    width = size + bits + 1
+    sums, squares = packed.mapPartitions(_moments(width, size)).treeReduce(np.add)
+    lines = sums[:, -1].sum()
+    spread = np.sqrt(np.maximum(squares - sums * sums / lines, 0) / max(lines - 1, 1))
+    scale = np.divide(1, spread, out=np.zeros_like(spread), where=spread > 0)
+
+    def of(flat: np.ndarray) -> tuple[float, np.ndarray]:
+        weights = packed.context.broadcast(flat.reshape(scale.shape) * scale)
+        total = packed.mapPartitions(_loss(weights, size)).treeReduce(np.add)
+        weights.destroy()
+        return (total[-1] / lines + penalty / 2 * (flat @ flat), total[:-1] * scale.ravel() / lines + penalty * flat)
+
+    return _minimum(of, np.zeros(scale.size), epochs).reshape(scale.shape) * scale
+
+
 def train_level_models(train: DataFrame, levels: Sequence[str], label: str = "is_error", features: str = "features",
                        prefix: str = "correct_", epochs: int = 100) -> LevelModels:
     """Fit the bits of all levels together, one job for each pass. A wrong row teaches its corrected levels."""
@@ -248,9 +339,8 @@ def train_level_models(train: DataFrame, levels: Sequence[str], label: str = "is
     if paths.isEmpty():
         raise ValueError("no row has a label on every level")
     size = len(targets.select(features).first()[0])
-    schema = StructType([StructField("__y", DoubleType()), StructField("__x", VectorUDT())])
-    lines = targets.mapInArrow(_bit_rows(bits, size, features), schema)
-    fit = LogisticRegression(featuresCol="__x", labelCol="__y", maxIter=epochs, regParam=1e-4, family="binomial",
-                             fitIntercept=False)
-    weights = fit.fit(lines).coefficients.toArray().reshape(sum(bits), -1)
+    slices = settle(targets.mapInArrow(_packed(bits, features), "slice binary"), "slices").frame
+    packed = slices.rdd.map(lambda line: bytes(line["slice"])).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = _fit_bits(packed, sum(bits), size, epochs)
+    packed.unpersist()
     return LevelModels(tuple(levels), bits, weights, paths)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -155,3 +156,29 @@ def test_saved_levels_predict_the_same(spark, tmp_path):
     again = model.LevelModels.load(spark, str(tmp_path / "levels"))
     assert again.predict(rows).filter("pred_l1_idx <> l1_idx").count() == 0
     assert np.array_equal(again.weights, models.weights)
+
+
+def test_bits_are_fitted_without_a_line_for_each(spark):
+    """Rows stay as they are however many bits their labels have, and the weights are those of one logistic model over
+    a line for each bit of each row."""
+    rng = np.random.default_rng(3)
+    lines, packed_lines = [], []
+    x = np.where(rng.random((40, 4)) < 0.5, 0, rng.normal(size=(40, 4)))
+    labels = [[int(a), int(b)] for a, b in zip(rng.integers(0, 4, 40), np.where(rng.random(40) < 0.2, -1, rng.integers(0, 8, 40)))]
+    for row, label in zip(x, labels):
+        packed_lines.append((*[v if v >= 0 else None for v in label], row.tolist()))
+        bits = [(label[0] >> 1) & 1, label[0] & 1, *[(label[1] >> k) & 1 for k in (2, 1, 0)]]
+        known = [1, 1, *[int(label[1] >= 0)] * 3]
+        for i in range(5):
+            if known[i]:
+                vector = np.zeros((5, 10))
+                vector[i] = [*row, *[b * k if j < i else 0 for j, (b, k) in enumerate(zip(bits, known))], 1]
+                lines.append((float(bits[i]), vector.ravel().tolist()))
+    long = spark.createDataFrame(lines, "y double, v array<double>").withColumn("x", array_to_vector("v"))
+    wanted = LogisticRegression(featuresCol="x", labelCol="y", maxIter=100, regParam=1e-4, family="binomial",
+                                fitIntercept=False).fit(long).coefficients.toArray().reshape(5, 10)
+    rows = spark.createDataFrame(packed_lines, "__t0 long, __t1 long, f array<double>").withColumn("x", array_to_vector("f"))
+    slices = rows.repartition(3).mapInArrow(model._packed((2, 3), "x"), "slice binary").rdd.map(lambda r: bytes(r["slice"]))
+    assert slices.map(lambda s: len(model._matrices(s)[1])).sum() == 40
+    found = model._fit_bits(slices, 5, 4, 100)
+    assert np.abs(found - wanted).max() < 0.05 * np.abs(wanted).max()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import ALL_MEMBERS, SURPLUS, Dataset, profile
 from shelfwise.plans.cleaning import run_clean_and_unify, run_clean_and_validate
 from shelfwise.sources import tables as S
-from workload.base import products
+from workload.base import cleaned, products
 
 
 def test_ragged_csv(spark, tmp_path):
@@ -169,3 +169,11 @@ def test_unify_plan(spark, dataset, tmp_path):
     kept = clean.distinct().count() - report.count()
     run_clean_and_unify(spark, dataset, reference, ["o"], mapping, rules=rules, drop_excluded=True)
     assert S.read_table(spark, dataset.clean).count() == kept
+
+
+def test_products_are_worked_on_by_all_tasks(spark, tables):
+    """The part table is one small file; its rows are dealt to all tasks before they are cleaned."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = cleaned(spark, tables, with_id=True).filter("row_id % 3 = 0").withColumn("task", F.spark_partition_id())
+    shares = [line["count"] for line in own.groupBy("task").count().collect()]
+    assert len(shares) >= tasks and max(shares) < 2 * sum(shares) / tasks

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise import constants as C
 from shelfwise.config import Dataset
 from shelfwise.operators.clean import clean_frame, null_brands
-from shelfwise.operators.materialise import settle
+from shelfwise.operators.materialise import settle, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,7 +74,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
     text = PRODUCTS.replace("{row_id}", ROW_ID if with_id else "")
-    return spark.sql(text, part=table(spark, sf_dir, "part"))
+    return spark.sql(text, part=spread(table(spark, sf_dir, "part")))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
