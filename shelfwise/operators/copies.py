@@ -67,9 +67,21 @@ def expand_copies(weighted: DataFrame, copies: str) -> DataFrame:
     return written_out(few).unionByName(written_out(many))
 
 
+def hot_apart(df: DataFrame, keys: Sequence[str], repeated: Settled, count: str = "copies",
+              tuning: JoinTuning = DEFAULT_TUNING) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``df`` whose key has few copies, which one task may gather, and those of the hot keys, if any.
+    ``repeated`` holds the repeated keys with their row count."""
+    hot = settle(repeated.frame.filter(F.col(count) >= tuning.hot_floor).select(*_names(keys)), "hot-keys")
+    if hot.frame.isEmpty():
+        return df, None
+    on = {k: k for k in keys}
+    return attach(df, hot, on, "left_anti", tuning), attach(df, hot, on, "left_semi", tuning)
+
+
 def key_survivors(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tuning: JoinTuning = DEFAULT_TUNING,
-                  ) -> DataFrame:
+                  repeated: Settled | None = None) -> DataFrame:
     """For each repeated key the smallest row over all columns (nulls first), as the struct ``survivor``."""
-    twice = repeated_keys(df, keys).select(*_names(keys))
+    twice = repeated_keys(df, keys) if repeated is None else repeated.frame
+    twice = twice.select(*_names(keys)) if repeated is None else repeated.narrowed(twice.select(*_names(keys)))
     inside = attach(df.select(*_names(columns)), twice, {k: k for k in keys}, "left_semi", tuning)
     return inside.groupBy(*_names(keys)).agg(F.min(F.struct(*_names(columns))).alias("survivor"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
@@ -16,9 +16,10 @@ from shelfwise import constants as C
 from shelfwise.config import RULE_ORDER, Dataset, Profile
 from shelfwise.functions.text import wrong_barcode, wrong_day, year_out_of_range
 from shelfwise.operators.copies import (
-    attach_row_copies, expand_copies, key_survivors, repeated_keys, repeated_rows,
+    attach_row_copies, expand_copies, hot_apart, key_survivors, repeated_keys, repeated_rows,
 )
 from shelfwise.operators.joins import DEFAULT_TUNING, JoinTuning, attach
+from shelfwise.operators.materialise import Settled, settle
 
 REASONS = "error_reason"
 
@@ -38,9 +39,19 @@ def flag_duplicate_rows(df: DataFrame, columns: Sequence[str], tuning: JoinTunin
 
 
 def flag_duplicate_keys(df: DataFrame, keys: Sequence[str], tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """Flag every row whose key occurs more than once; null is a key value like any other."""
-    marked = attach(df, repeated_keys(df, keys, "__copies"), {k: k for k in keys}, tuning=tuning)
-    return _add_reason(marked, F.col("__copies").isNotNull(), C.KEY_REASON).drop("__copies")
+    """Flag every row whose key occurs more than once; null is a key value like any other.
+
+    Few repeated keys are broadcast. Where they are many, the rows move once and are counted key by key; only hot keys
+    are known beforehand, and their rows stay where they are.
+    """
+    repeated = settle(repeated_keys(df, keys, "__copies"), "repeated-keys")
+    if repeated.fits(tuning.max_rows, tuning.max_bytes):
+        marked = attach(df, repeated, {k: k for k in keys}, tuning=tuning)
+    else:
+        few, hot = hot_apart(df, keys, repeated, "__copies", tuning)
+        marked = few.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*[f"`{k}`" for k in keys])))
+        marked = marked if hot is None else marked.unionByName(hot.withColumn("__copies", F.lit(2).cast("long")))
+    return _add_reason(marked, F.coalesce("__copies", F.lit(1)) > 1, C.KEY_REASON).drop("__copies")
 
 
 def flag_barcode_length(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,9 +112,10 @@ def surplus_duplicate_rows(df: DataFrame, columns: Sequence[str], tuning: JoinTu
     return expand_copies(repeated.withColumn("__copies", F.col("__copies") - 1), "__copies")
 
 
-def _key_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tuning: JoinTuning) -> DataFrame:
+def _key_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tuning: JoinTuning,
+                repeated: Settled | None = None) -> DataFrame:
     """Distinct rows inside repeated keys, with ``__copies`` and whether the row is the key's survivor."""
-    survivors = key_survivors(df, keys, columns, tuning)
+    survivors = key_survivors(df, keys, columns, tuning, repeated)
     inside = attach(df.select(*[f"`{c}`" for c in columns]), survivors, {k: k for k in keys}, "inner", tuning)
     first = F.struct(*[f"`{c}`" for c in columns]).eqNullSafe(F.col("survivor"))
     return inside.withColumn("__first", first).drop("survivor").groupBy(*[f"`{c}`" for c in columns], "__first").agg(
@@ -112,8 +124,24 @@ def _key_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tuni
 
 def surplus_duplicate_keys(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
                            tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
-    """Of every key group all rows but the first by all columns, nulls first."""
-    groups = _key_groups(df, keys, columns or df.columns, tuning)
+    """Of every key group all rows but the first by all columns, nulls first.
+
+    Where the repeated keys are too many to broadcast, the rows move once and are put in order key by key; only those
+    of hot keys are grouped by their values.
+    """
+    columns = list(columns or df.columns)
+    repeated: Settled | None = settle(repeated_keys(df, keys, "__copies"), "repeated-keys")
+    if not repeated.fits(tuning.max_rows, tuning.max_bytes):
+        few, hot = hot_apart(df.select(*[f"`{c}`" for c in columns]), keys, repeated, "__copies", tuning)
+        place = F.row_number().over(Window.partitionBy(*[f"`{k}`" for k in keys]).orderBy(*[f"`{c}`" for c in columns]))
+        surplus = few.withColumn("__place", place).filter("__place > 1").drop("__place")
+        return surplus if hot is None else surplus.unionByName(_surplus_of_groups(hot, keys, columns, tuning))
+    return _surplus_of_groups(df, keys, columns, tuning, repeated)
+
+
+def _surplus_of_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tuning: JoinTuning,
+                       repeated: Settled | None = None) -> DataFrame:
+    groups = _key_groups(df, keys, columns, tuning, repeated)
     left = F.col("__copies") - F.when(F.col("__first"), 1).otherwise(0)
     return expand_copies(groups.withColumn("__copies", left).drop("__first").filter("__copies > 0"), "__copies")
 

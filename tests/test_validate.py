@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.config import ALL_MEMBERS, SURPLUS, Dataset, Profile, as_profile, check_declared_parameters, profile
+from shelfwise.operators import joins
 from shelfwise.operators import validate as V
 from shelfwise.operators.joins import JoinTuning
 
@@ -100,3 +101,21 @@ def test_declared_parameters():
     check_declared_parameters(["a"], [{"id": "t", "trigger": {"x": "a"}}, {"id": "u", "trigger": None}])
     with pytest.raises(ValueError):
         check_declared_parameters(["a"], [{"id": "t", "trigger": {"x": "b"}}])
+
+
+@pytest.mark.parametrize("hot_floor", [100, 3])
+def test_many_repeated_keys_move_the_rows_once(spark, monkeypatch, hot_floor):
+    """Too many repeated keys to broadcast: the rows are not written and joined, and hot keys are still told apart."""
+    lines = [(k, n, v) for k, n in ((1, 1), (None, 2), (3, None), (4, 0)) for v in ([5, 5, None, 2] if k == 1 else [7, 6][:n])]
+    df = spark.createDataFrame(lines, "k int, n int, v int")
+    tuning = JoinTuning(max_rows=0, hot_floor=hot_floor)
+    if hot_floor == 100:
+        monkeypatch.setattr(joins, "salted_join", lambda *_: pytest.fail("rows were joined to their keys"))
+    flagged = V.flag_duplicate_keys(V.with_empty_reasons(df), ["k", "n"], tuning)
+    assert flagged.count() == len(lines)
+    twice = {(r["k"], r["n"]) for r in flagged.filter(F.size("error_reason") > 0).collect()}
+    assert twice == {(1, 1), (None, 2), (3, None)}
+    assert flagged.filter(F.size("error_reason") == 0).count() == 0
+    surplus = V.surplus_duplicate_keys(df, ["k", "n"], tuning=tuning).collect()
+    assert sorted(map(repr, map(tuple, surplus))) == sorted(map(repr, [
+        (1, 1, 2), (1, 1, 5), (1, 1, 5), (None, 2, 7), (3, None, 7)]))
