@@ -58,8 +58,12 @@ def _train(train_rows: DataFrame, model_dir: str, settings: SuspectSettings, res
         if absent:
             raise ValueError(f"the corrector needs the corrected levels: {absent} not found")
         rows = encode_labels(rows, label_map, settings.levels, prefix="correct_")
-    rows = settle(rows, "training").frame
-    fitted = fit_features(rows, _spec(settings))
+    # The fits read a few columns many times; the others are not carried along.
+    spec = _spec(settings)
+    read = [*spec.text_columns, *spec.category_columns, *spec.value_columns, *spec.label_columns, settings.label]
+    read += [f"correct_{c}_idx" for c in settings.levels] if settings.correct_levels else []
+    rows = settle(rows.select(*[f"`{c}`" for c in dict.fromkeys(read)]), "training").frame
+    fitted = fit_features(rows, spec)
     ready = settle(add_features(rows, fitted), "vectors").frame  # read by every fit
     before = PipelineModel.load(f"{model_dir}/errors") if resume else None
     errors = train_error_model(ready, settings.label, kind=settings.kind, epochs=settings.epochs, start_from=before)

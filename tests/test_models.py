@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import model
 from shelfwise.operators.features import FeatureSpec, FittedFeatures, add_features, fit_features
+from shelfwise.operators.materialise import settle
 from shelfwise.operators.model import score_errors, train_error_model, train_level_models
+from shelfwise.plans import suspects
 from shelfwise.plans.suspects import SuspectSettings, inference_metrics, run_suspects, write_suspects
 
 LEVELS = ("l1", "l2")
@@ -42,6 +44,19 @@ def test_binary_plan(spark, items, tmp_path):
     assert found.count() == 10 and found.filter("is_error = 0").count() == 0
 
 
+def test_only_columns_the_fits_read_are_written(spark, items, tmp_path, monkeypatch):
+    written = {}
+
+    def noted(df, label="step"):
+        written[label] = set(df.columns)
+        return settle(df, label)
+
+    monkeypatch.setattr(suspects, "settle", noted)
+    suspects.train(items.withColumn("ballast", F.lit("x")), str(tmp_path / "model"), SuspectSettings(**SETTINGS))
+    read = {"description", "hierarchy_path", "color_desc", "size_desc", "l1_idx", "l2_idx", "is_error"}
+    assert written["training"] == read and written["vectors"] == read | {"features"}
+
+
 def test_corrector_plan(spark, items, tmp_path):
     folder = str(tmp_path / "model")
     settings = SuspectSettings(**SETTINGS, correct_levels=True)

@@ -154,6 +154,11 @@ def test_validate_plan_keeps_every_row(spark, dataset):
     assert S.read_table(spark, dataset.clean).filter("item_desc rlike '[a-zé]'").count() == 0
 
 
+def test_products_lie_evenly(spark, tables):
+    sizes = [r["count"] for r in products(spark, tables).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 207 and len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+
+
 def test_unify_plan(spark, dataset, tmp_path):
     reference = spark.createDataFrame([("0000000000011", "FOUND", 1)], "code string, brand string, o int")
     mapping = str(tmp_path / "mapping")
