@@ -199,5 +199,9 @@ def excluded_report(df: DataFrame, dataset: Dataset, profile: Profile, columns:
 
 
 def without_excluded(clean: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Distinct clean rows that do not occur in the excluded rows. Copies are folded before the rows are joined."""
-    return clean.distinct().subtract(excluded.select(*[f"`{c}`" for c in clean.columns]))
+    """Distinct clean rows that do not occur in the excluded rows. Both are grouped together, so that whole rows move
+    once; copies are folded before."""
+    columns = [f"`{c}`" for c in clean.columns]
+    lines = clean.withColumn("__out", F.lit(0)).unionByName(excluded.select(*columns, F.lit(1).alias("__out")))
+    groups = lines.groupBy(*columns).agg(F.max("__out").alias("__out"))
+    return groups.filter("__out = 0").drop("__out")

@@ -57,6 +57,16 @@ def test_clean_minus_excluded_drops_every_copy(rows):
     assert sorted(r["item"] for r in V.without_excluded(rows, report).collect()) == ["c", "d", "g"]
 
 
+def test_subtraction_moves_rows_once(spark):
+    clean = spark.createDataFrame([(1, None), (1, None), (2, "b"), (None, None), (3, "c"), (3, "c")], "n int, t string")
+    excluded = spark.createDataFrame([("x", None, 1), ("y", "b", 9), ("z", None, 7), ("x", None, 1)], "why string, t string, n int")
+    left = V.without_excluded(clean, excluded)
+    assert left.schema == clean.schema
+    assert sorted(map(str, map(tuple, left.collect()))) == ["(2, 'b')", "(3, 'c')", "(None, None)"]
+    plan = left._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_partitioning_does_not_matter(rows):
     rules = profile("supermarket").rules
     first = sorted(map(str, V.flag_errors(rows, DATA, rules).collect()))
