@@ -90,6 +90,13 @@ def _squeeze(text: str) -> str:
     return rf"regexp_replace({text}, r' [ \t\n\f\r]+|[\t\n\f\r][ \t\n\f\r]*', ' ')"
 
 
+def _is_tidy(c: str) -> str:
+    """SQL: plain ASCII text that neither trimming nor squeezing would change. Every white space in ASCII sorts before
+    ``!``, so the ends are only compared."""
+    runs = " or ".join(f"contains({c}, {_literal(gap)})" for gap in ("  ", "\t", "\n", "\f", "\r"))
+    return f"{_is_ascii(c)} and {c} >= '!' and right({c}, 1) >= '!' and not ({runs})"
+
+
 def trim_edges(text: Column) -> Column:
     return F.btrim(text, F.lit(C.EDGE_SPACES))
 
@@ -97,13 +104,17 @@ def trim_edges(text: Column) -> Column:
 def clean_text(column: str) -> Column:
     """Accents off, white space squeezed to single blanks, upper case, trimmed.
 
-    Null where the raw cell is one of the words for "no value". Written as one SQL text: wide tables have many
-    text columns, and building this call by call would take longer than a small job.
+    Null where the raw cell is one of the words for "no value". Tidy cells, most of a usual table, are only put in
+    upper case. Written as one SQL text: wide tables have many text columns, and building this call by call would take
+    longer than a small job.
     """
     c, edges = _name(column), _literal(C.EDGE_SPACES)
     squeezed = f"if({_is_ascii(c)}, {_squeeze(c)}, {_squeeze(_fold(c))})"
     words = ", ".join(map(_literal, C.NULL_WORDS))
-    return F.expr(f"case when upper(btrim({c}, {edges})) not in ({words}) then btrim(upper({squeezed}), {edges}) end")
+    longest = max(len(word.encode()) for word in C.NULL_WORDS)
+    return F.expr(
+        f"case when {_is_tidy(c)} then if(octet_length({c}) > {longest} or upper({c}) not in ({words}), upper({c}), null) "
+        f"when upper(btrim({c}, {edges})) not in ({words}) then btrim(upper({squeezed}), {edges}) end")
 
 
 def null_if_missing_brand(brand: Column) -> Column:
@@ -118,13 +129,14 @@ def alphanumeric_form(text: Column, upper_first: bool = True) -> Column:
 
 
 def brand_root(brand: Column) -> Column:
-    """A verified brand found inside wins; else the brand without noise words and numbers."""
+    """A verified brand found inside wins; else the brand without noise words and numbers. A single word stays."""
     upper = F.upper(brand)
     kept = F.filter(
         F.split(trim_edges(upper), WORD_GAP),
         lambda word: (word != "") & ~word.isin(*C.NOISE_TOKENS) & ~word.rlike(all_digits()),
     )
-    root = F.coalesce(F.nullif(F.array_join(kept, " "), F.lit("")), upper)
+    several = F.coalesce(F.nullif(F.array_join(kept, " "), F.lit("")), upper)
+    root = F.when(~upper.rlike(WORD_GAP), upper).otherwise(several)
     return reduce(
         lambda rest, name: F.when(upper.contains(name), name).otherwise(rest), reversed(C.VERIFIED_BRANDS), root
     )

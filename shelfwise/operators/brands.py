@@ -137,10 +137,25 @@ def brand_counts(df: DataFrame, columns: Sequence[str] = BRAND_COLUMNS) -> DataF
     )
 
 
+def rooted_values(df: DataFrame, columns: Sequence[str] = BRAND_COLUMNS) -> DataFrame:
+    """(value, root, freq) for each distinct value of all listed columns together. Roots are costly, and a table has far
+    fewer brands than rows."""
+    counts = (
+        stacked_values(df, columns).filter(F.col("value").isNotNull())
+        .groupBy("value").agg(F.count(F.lit(1)).alias("freq"))
+    )
+    return counts.select("value", brand_root(F.col("value")).alias("root"), "freq")
+
+
+def root_counts(values: DataFrame) -> DataFrame:
+    """(brand, freq) of the roots of ``rooted_values``."""
+    return values.groupBy(F.col("root").alias("brand")).agg(F.sum("freq").alias("freq"))
+
+
 def build_brand_mapping(df: DataFrame, columns: Sequence[str] = BRAND_COLUMNS, threshold: float = 0.85,
                         tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
     """(brand, standard_brand) for the roots of the brand columns."""
-    return similar_brand_mapping(brand_counts(root_brands(df, columns), columns), threshold, tuning=tuning)
+    return similar_brand_mapping(root_counts(rooted_values(df, columns)), threshold, tuning=tuning)
 
 
 def unify_brands(df: DataFrame, columns: Sequence[str] = BRAND_COLUMNS, mapping: DataFrame | None = None,
@@ -149,6 +164,13 @@ def unify_brands(df: DataFrame, columns: Sequence[str] = BRAND_COLUMNS, mapping:
 
     Returns the frame and the mapping used, so that it can be saved and reused.
     """
-    if mapping is None:
-        mapping = settle(build_brand_mapping(df, columns, threshold, tuning), "brand-mapping").frame
-    return replace_by_mapping(root_brands(df, columns), columns, mapping, tuning=tuning), mapping
+    if mapping is not None:
+        return replace_by_mapping(root_brands(df, columns), columns, mapping, tuning=tuning), mapping
+    values = settle(rooted_values(df, columns), "brand-values")
+    built = settle(similar_brand_mapping(root_counts(values.frame), threshold, tuning=tuning), "brand-mapping")
+    if not values.fits(tuning.max_rows, tuning.max_bytes):
+        return replace_by_mapping(root_brands(df, columns), columns, built.frame, tuning=tuning), built.frame
+    # Few values: each one's outcome is known before the rows are read again.
+    known = attach(values.frame, built, {"root": "brand"}, tuning=tuning).select(
+        "value", F.coalesce("standard_brand", "root").alias("outcome")).filter("outcome <> value")
+    return replace_by_mapping(df, columns, known, "value", "outcome", tuning), built.frame

@@ -75,6 +75,18 @@ def test_unify_builds_and_reuses(spark):
     assert {r.brand: r.freq for r in B.brand_counts(B.root_brands(df)).collect()}["LA COURONNE"] == 4
 
 
+@BOTH
+def test_roots_are_made_once_a_value(spark, tuning):
+    cells = ["LA COURONNE 12", "LA COURONNE", "LA COURONN IMPORT", "", None, "12", " TEX  NET "]
+    df = spark.createDataFrame([(i, c, None) for i, c in enumerate(cells)],
+                               "i int, local_brand_name string, global_brand_name string")
+    built, _ = B.unify_brands(df, tuning=tuning)
+    assert column(built, "local_brand_name") == ["LA COURONNE"] * 3 + ["", None, "12", "TEX"]
+    assert column(built, "global_brand_name") == [None] * 7
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan, "roots of few values are looked up, not made again row by row"
+
+
 def test_null_brands(spark):
     df = spark.createDataFrame([("SANS MARQUE", "TEX"), (None, "?")], "local_brand_name string, global_brand_name string")
     assert sum(r.left_over for r in left_over_missing_brands(df).collect()) == 2

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import re
 import unicodedata
 
 import pytest
@@ -28,6 +30,23 @@ def test_clean_text(spark):
     assert apply(spark, cells, text.clean_text) == list(cells.values())
 
 
+def test_clean_text_of_all_short_cells(spark):
+    cells = ["".join(c) for n in range(5) for c in itertools.product(" \t\f\x0b\x1cNaé", repeat=n)]
+    cells += [f"{a}long cell{b}" for a in C.EDGE_SPACES for b in C.EDGE_SPACES] + ["NULLS", "null", "fine cell", "a\rb"]
+
+    def cleaned(cell):
+        plain = re.sub("[ \t\n\f\r]+", " ", cell.replace("é", "e")).upper().strip(C.EDGE_SPACES)
+        return None if cell.strip(C.EDGE_SPACES).upper() in C.NULL_WORDS else plain
+
+    assert apply(spark, cells, text.clean_text) == [cleaned(cell) for cell in cells]
+
+
+def test_tidy_cells_are_known(spark):
+    cells = ["TEX 12", "fine cell", "a", "", " a", "a ", "a  b", "a\tb", "a\rb", "a\fb", "\x1ca", "é", "a\xa0"]
+    tidy = apply(spark, cells, lambda c: F.expr(text._is_tidy(c)))
+    assert tidy == [True] * 3 + [False] * 10
+
+
 def test_clean_text_is_idempotent(spark):
     once = apply(spark, ["  Crème   brûlée ", "ß", "한국"], text.clean_text)
     assert apply(spark, once, text.clean_text) == once
