@@ -32,32 +32,46 @@ def mode_per_group(df: DataFrame, group: Sequence[str], value: str, out: str = "
     return counts.groupBy(*group).agg(_most_frequent("__n", value).alias(out))
 
 
-def spelling_mapping(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, normal_form, standard): for each normal form with several spellings the most frequent one."""
+def _spelling_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, n, normal_form) of the distinct values that have a normal form."""
     counts = stacked_values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("normal_form", alphanumeric_form(F.col("value"))).filter(F.col("normal_form").isNotNull())
+
+
+def _standards(counts: DataFrame) -> DataFrame:
     return (
-        counts.withColumn("normal_form", alphanumeric_form(F.col("value")))
-        .filter(F.col("normal_form").isNotNull())
-        .groupBy("column_name", "normal_form")
+        counts.groupBy("column_name", "normal_form")
         .agg(_most_frequent("n", "value").alias("standard"), F.count(F.lit(1)).alias("spellings"))
         .filter(F.col("spellings") > 1)
         .drop("spellings")
     )
 
 
+def spelling_mapping(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, normal_form, standard): for each normal form with several spellings the most frequent one."""
+    return _standards(_spelling_counts(df, columns))
+
+
 def standardise_by_frequency(df: DataFrame, columns: Sequence[str], output_columns: Sequence[str] | None = None,
                              tuning: JoinTuning = DEFAULT_TUNING) -> DataFrame:
     """Replace each value by the most frequent spelling of its normal form.
 
-    Nulls and values without any letter or digit stay as they are.
+    Nulls and values without any letter or digit stay as they are. Few values are looked up as they are; only where they
+    are too many to broadcast is the normal form made again row by row.
     """
     if columns:
-        mapping = settle(spelling_mapping(df, columns), "spellings")
+        counts = settle(_spelling_counts(df, columns), "spelling-counts")
+        mapping = settle(_standards(counts.frame), "spellings")
+        key, by_value = "normal_form", counts.fits(tuning.max_rows, tuning.max_bytes)
+        if by_value:
+            both = attach(counts.frame.drop("n"), mapping, {"column_name": "column_name", "normal_form": "normal_form"},
+                          "inner", tuning)
+            key, mapping = "value", settle(both.filter("value <> standard"), "respelled")
         for c in columns:
-            part = mapping.frame.filter(F.col("column_name") == c).select("normal_form", "standard")
-            keyed = df.withColumn("__form", alphanumeric_form(F.col(c)))
+            part = mapping.frame.filter(F.col("column_name") == c).select(key, "standard")
+            keyed = df.withColumn("__form", F.col(f"`{c}`") if by_value else alphanumeric_form(F.col(c)))
             df = (
-                attach(keyed, mapping.narrowed(part), {"__form": "normal_form"}, tuning=tuning)
+                attach(keyed, mapping.narrowed(part), {"__form": key}, tuning=tuning)
                 .withColumn(c, F.coalesce("standard", c)).drop("__form", "standard")
             )
     return keep_columns(df, output_columns or df.columns)

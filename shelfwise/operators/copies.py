@@ -24,29 +24,49 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], count: str = "copies") ->
     )
 
 
-def repeated_rows(df: DataFrame, columns: Sequence[str], count: str = "copies", tuning: JoinTuning = DEFAULT_TUNING,
-                  ) -> Settled:
-    """Whole rows that occur more than once, one line each, with ``count`` and their hash ``row_hash``.
+def _alike(df: DataFrame, columns: Sequence[str], count: str, tuning: JoinTuning) -> DataFrame:
+    """Groups of equal rows with ``count`` and their hash ``row_hash``, of those rows only whose hash repeats.
 
     A first pass counts 64-bit row hashes, so what is shuffled is narrow. Only rows whose hash repeats are then
     compared column by column, so a hash collision cannot produce a false hit.
     """
     hashed = df.select(*_names(columns), F.xxhash64(*_names(columns)).alias("row_hash"))
     suspects = repeated_keys(hashed, ["row_hash"]).select("row_hash")
-    confirmed = (
+    return (
         attach(hashed, suspects, {"row_hash": "row_hash"}, "left_semi", tuning)
-        .groupBy("row_hash", *_names(columns)).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
+        .groupBy("row_hash", *_names(columns)).agg(F.count(F.lit(1)).alias(count))
     )
-    return settle(confirmed, "repeated-rows")
+
+
+def repeated_rows(df: DataFrame, columns: Sequence[str], count: str = "copies", tuning: JoinTuning = DEFAULT_TUNING,
+                  ) -> Settled:
+    """Whole rows that occur more than once, one line each, with ``count`` and their hash ``row_hash``."""
+    return settle(_alike(df, columns, count, tuning).filter(F.col(count) > 1), "repeated-rows")
 
 
 def attach_row_copies(df: DataFrame, columns: Sequence[str], count: str, tuning: JoinTuning = DEFAULT_TUNING,
                       ) -> DataFrame:
-    """Add ``count``: how many rows equal this one over ``columns`` (null where it is unique)."""
-    repeated = repeated_rows(df, columns, count, tuning)
-    on = {"row_hash": "row_hash", **{c: c for c in columns}}
+    """Add ``count``: how many rows equal this one over ``columns`` (null where it is unique).
+
+    Where all rows of a hash were found equal, the hash alone says so, and whole rows are neither broadcast nor moved.
+    Only rows of a hash that different rows share are looked up by all their columns.
+    """
+    groups = _alike(df, columns, count, tuning).groupBy("row_hash").agg(
+        F.count(F.lit(1)).alias("__groups"), F.max(count).alias(count))
+    hashes = settle(groups.filter(F.col(count) > 1), "repeated-hashes")
+    sure = hashes.narrowed(hashes.frame.filter("__groups = 1").drop("__groups"))
     hashed = df.withColumn("row_hash", F.xxhash64(*_names(columns)))
-    return attach(hashed, repeated, on, "left", tuning).drop("row_hash")
+    marked = attach(hashed, sure, {"row_hash": "row_hash"}, "left", tuning)
+    shared = hashes.frame.filter("__groups > 1").select("row_hash")
+    if shared.isEmpty():
+        return marked.drop("row_hash")
+    inside = attach(hashed.select(*_names(columns), "row_hash"), hashes.narrowed(shared), {"row_hash": "row_hash"},
+                    "left_semi", tuning)
+    repeated = settle(inside.groupBy("row_hash", *_names(columns)).agg(F.count(F.lit(1)).alias("__more"))
+                      .filter("__more > 1"), "repeated-rows")
+    on = {"row_hash": "row_hash", **{c: c for c in columns}}
+    return attach(marked, repeated, on, "left", tuning).withColumn(count, F.coalesce(count, "__more")).drop(
+        "row_hash", "__more")
 
 
 def expand_copies(weighted: DataFrame, copies: str) -> DataFrame:

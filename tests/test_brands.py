@@ -26,6 +26,14 @@ def test_standard_spelling(spark, tuning):
     assert got == ["L'OREAL"] * 3 + ["---", "???", None, "", "TEX", "TEX"]
 
 
+def test_spellings_are_looked_up_by_value(spark):
+    df = spark.createDataFrame(list(enumerate(["TEX", "TEX", "t-e-x", None, "", "--"])), "i int, b string")
+    got = B.standardise_by_frequency(df, ["b"])
+    assert column(got, "b") == ["TEX"] * 3 + [None, "", "--"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan, "normal forms of few values are not made again row by row"
+
+
 def test_archived_spelling(spark):
     cells = ["L'OREAL", "L'OREAL", "L OREAL", "--", "??", "??", None, "Tex"]
     df = spark.createDataFrame(list(enumerate(cells)), "i int, b string")

@@ -89,6 +89,22 @@ def test_repeated_rows_and_keys(spark):
     assert survivors == {"a": ("a", None), None: (None, 1)}
 
 
+def test_copies_are_attached_without_moving_whole_rows(spark):
+    # The repeated rows are too large to broadcast, their hashes are not.
+    df = spark.createDataFrame([(f"{i % 60}" + "x" * 1000, i % 60) for i in range(100)], "x string, y int")
+    got = copies.attach_row_copies(df, ["x", "y"], "n", JoinTuning(max_bytes=10_000))
+    assert Counter(r.n for r in got.collect()) == {2: 80, None: 20}
+    assert not any("/base-" in f for f in got.inputFiles()), "the rows were written and shuffled to meet their copies"
+
+
+@pytest.mark.parametrize("tuning", [JoinTuning(), SHUFFLE])
+def test_rows_that_share_a_hash_are_told_apart(spark, monkeypatch, tuning):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), (None, 1), (None, 1), (None, 1), ("b", 2)], "x string, y int")
+    monkeypatch.setattr(copies.F, "xxhash64", lambda *c: F.length(F.coalesce(F.col("x"), F.lit("?"))).cast("long"))
+    got = copies.attach_row_copies(df, ["x", "y"], "n", tuning)
+    assert bag(got) == {(2, "a", 1): 2, (None, "a", None): 1, (3, None, 1): 3, (None, "b", 2): 1}
+
+
 def test_expand_copies_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(copies, "COPIES_PER_CHUNK", 7)
     df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 8), ("d", 50), ("e", 0)], "x string, n long")
