@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -271,6 +273,58 @@ def test_redaction(spark, odd):
     assert secret_scan.redact(secret_scan.scan(odd.limit(0))).count() == 0
 
 
+def covered(spark, texts):
+    """For each text, its joined letters and the places of them that no readable run holds."""
+    out = []
+    for text in texts:
+        letters = "".join(re.findall("[A-Za-z]{2,12}", text)).lower()
+        runs = secret_scan.readable_runs(spark.createDataFrame([(text,)], "text string")).collect()
+        left = set(range(len(letters)))
+        for row in runs:
+            assert len(row["run"]) in secret_scan.REFERENCE_LENGTHS.values() and row["run"][-1].isdigit()
+            part = re.sub("[^a-z]", "", row["run"].lower())
+            at = letters.find(part)
+            assert at >= 0, row["run"]
+            while at >= 0:
+                left -= set(range(at, at + len(part)))
+                at = letters.find(part, at + 1)
+        out.append((letters, left))
+    return out
+
+
+def test_readable_runs_leave_no_letter_out(spark):
+    """Every word of every text is in the null, whatever the length of the text; shorter ones than a run give none."""
+    import random
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 12)))
+                      for _ in range(n)) for n in (4, 5, 6, 7, 8, 9, 12, 63, 64, 65, 127, 128, 1500)]
+    for letters, left in covered(spark, texts):
+        assert not left or len(letters) < 19, (len(letters), left)
+    assert secret_scan.readable_runs(spark.createDataFrame([(None,), ("",), ("few 1 2",)], "text string")).count() == 0
+
+
+def test_null_counts_all_documents(spark):
+    """The counts of the null grow with the whole text of each document, not with the number of documents."""
+    page = "the customer asked for another invoice because the parcel came late and the label was torn "
+    docs = spark.createDataFrame([(page * 50,), (page,), (None,)], "text string")
+    extra = sum(r["n"] for r in secret_scan.reference(docs).collect()) - sum(
+        r["n"] for r in secret_scan.reference(docs.limit(0)).collect())
+    assert extra == secret_scan.readable_runs(docs).count() > 50
+
+
+def test_values_of_runs_like_the_battery(spark):
+    import random
+    rng = random.Random(17)
+    tokens = [t for t in readable_names(100, rng) if len(t) <= 62] + [
+        "".join(rng.choice(a) for _ in range(rng.randint(20, 62))) for a in brute.ALPHABETS for _ in range(20)]
+    tokens = [t for t in tokens if "=" not in t] + ["a1" * 31, "A" * 19 + "1", "_" * 19 + "-"]
+    runs = spark.createDataFrame([(t,) for t in tokens], "run string").coalesce(1)
+    fast = [(r["cls"], r["p"]) for r in secret_scan.run_values(runs).collect()]
+    slow = runs.select(secret_scan.length_class(F.col("run")).alias("cls"), secret_scan.randomness(F.col("run")).alias("p"))
+    assert [c for c, _ in fast] == [r["cls"] for r in slow.collect()]
+    assert [p for _, p in fast] == pytest.approx([r["p"] for r in slow.collect()], rel=1e-9)
+
+
 def test_secrets_beside_base_spans(spark):
     """What is left of a run beside base spans is tested by itself."""
     key, other = "wJalrXUtnFEMI2K7MDENGbPxRfiCYqT9zB4hVo8s", "Qz81LmPv0aYtRk5XcEw2HdUj7BnGf3SoIi9T"
