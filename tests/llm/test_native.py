@@ -303,6 +303,13 @@ def test_readable_runs_leave_no_letter_out(spark):
     assert secret_scan.readable_runs(spark.createDataFrame([(None,), ("",), ("few 1 2",)], "text string")).count() == 0
 
 
+def test_prior_leaves_no_letter_out(spark):
+    """The texts of common words are used whole too, and their words are not cut off after one run."""
+    texts = [r["text"] for r in secret_scan.prior(spark, 10).collect()]
+    assert len(texts) == 10 and all(len(t.split()) == 20 for t in texts)
+    assert not any(left for _, left in covered(spark, texts))
+
+
 def test_null_counts_all_documents(spark):
     """The counts of the null grow with the whole text of each document, not with the number of documents."""
     page = "the customer asked for another invoice because the parcel came late and the label was torn "
